@@ -106,11 +106,11 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
 
 
 def span_hashes(a: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every span [start, end) of the array a (bytes or code points), by prefix sums of one polynomial."""
+    """A 64-bit hash of every span [start, end) of the array a (bytes, code points or 64-bit hashes), by prefix sums of one polynomial."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     sums = np.zeros(len(a) + 1, np.uint64)
-    value = (_BYTE if a.dtype == np.uint8 else _point_values())[a]
+    value = a if a.dtype == np.uint64 else (_BYTE if a.dtype == np.uint8 else _point_values())[a]
     np.cumsum(value * _power(_BASE, len(a)), out=sums[1:])
     h = (sums[ends] - sums[starts]) * _power(_INVERSE, len(a))[starts]
     return mix(h + (ends - starts).astype(np.uint64))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import grace_dedup, line_dedup, packing
+from marginalia.llm import grace_dedup, line_dedup, packing, substring_dedup
 from marginalia.llm.common import dealt, table
 
 
@@ -22,8 +22,13 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(dealt(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return substring_dedup.remove_repeats(docs, length=20).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_line_dedup, op8_exact_dedup, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op6_line_dedup, op8_exact_dedup, op9_best_fit_packing, op10_substring_dedup)}
 
 
 LINE_KEY = r"translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
