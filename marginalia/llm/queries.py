@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import grace_dedup, line_dedup, packing, substring_dedup
+from marginalia.llm import grace_dedup, line_dedup, minmax_dedup, packing, substring_dedup
 from marginalia.llm.common import dealt, table
 
 
+def op4_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_dedup(dealt(table(spark, sf_dir, "documents").select("doc_id", "text")), percent=85, k=5)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_frequent_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -28,7 +32,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_line_dedup, op8_exact_dedup, op9_best_fit_packing, op10_substring_dedup)}
+    return {f.__name__: f for f in (op4_minmax_near_dedup, op6_line_dedup, op8_exact_dedup, op9_best_fit_packing, op10_substring_dedup)}
 
 
 LINE_KEY = r"translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
