@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import grace_dedup, line_dedup, minmax_dedup, packing, substring_dedup
+from marginalia.llm import grace_dedup, language_id, line_dedup, minmax_dedup, packing, substring_dedup, toxicity
 from marginalia.llm.common import dealt, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return language_id.language(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_dedup(dealt(table(spark, sf_dir, "documents").select("doc_id", "text")), percent=85, k=5)
 
@@ -32,7 +42,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_minmax_near_dedup, op6_line_dedup, op8_exact_dedup, op9_best_fit_packing, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op4_minmax_near_dedup, op5_language_id, op6_line_dedup, op8_exact_dedup, op9_best_fit_packing, op10_substring_dedup)}
 
 
 LINE_KEY = r"translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
