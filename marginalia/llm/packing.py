@@ -130,7 +130,7 @@ def pack(pieces: DataFrame, most: int = 1024) -> DataFrame:
             yield pa.record_batch(out | {"sequence_id": pa.array(first_sequence[at] + rank - first_rank[at]), "offset": pa.array(offset[at])})
 
     within = Window.partitionBy("bucket", "length").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = pieces.withColumn("rank", F.row_number().over(within)).join(counted.select("bucket", "length", "before"), ["bucket", "length"])
+    ranked = pieces.withColumn("rank", F.row_number().over(within)).join(counted.select("bucket", "length", "before").hint("merge"), ["bucket", "length"])
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") - 1 + F.col("before")).cast("long").alias("rank"))
     return ranked.mapInArrow(slots, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 

@@ -129,20 +129,22 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(xs), np.array(ys)
 
 
-def fit(docs: DataFrame, labelled: DataFrame, per_class: int = 6000, max_terms: int = 2048, k: int = 15) -> Index:
-    """Learns from labelled (doc_id, text, toxic); docs gives the document frequencies.
+def fit(docs: DataFrame, marks: DataFrame, per_class: int = 6000, max_terms: int = 2048, k: int = 15) -> Index:
+    """Learns from docs (doc_id, text) with marks (doc_id, toxic); all of docs gives the document frequencies.
 
-    Of each class at most `per_class` rows are examples, those of least text hash; an example counts as many rows as its
-    class was thinned by. Terms are the `max_terms` that mark the toxic class best (log-likelihood ratio of at least 15 over the
+    Of each class about `per_class` rows are examples, those of least hash of id and text (the hash only thins evenly, it is no input); an
+    example counts as many rows as its class was thinned by. Their ids, bounded by that, are broadcast to find their texts. Terms are the `max_terms` that mark the toxic class best (log-likelihood ratio of at least 15 over the
     examples), and inverse document frequencies are counted over all of docs. The driver gets `max_terms` terms and
     the examples' weights on them, so what it holds is bounded by these parameters.
     """
     spark = docs.sparkSession
-    labelled = labelled.where("toxic is not null and text is not null").select("doc_id", "text", (F.col("toxic") > 0).cast("int").alias("toxic"), F.pmod(F.xxhash64("text"), F.lit(1 << 30)).alias("h"))
+    known = docs.where("doc_id is not null and text is not null").select("doc_id", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("h"))
+    labelled = common.staged(known.join(marks.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")), "doc_id"), "labelled")
     total = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = {y: min(1.0, per_class / n) for y, n in total.items()}
     cut = F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0)) * (1 << 30)
-    examples = common.staged(labelled.where(F.col("h") < cut).select("doc_id", "text", "toxic"), "examples")
+    chosen = labelled.where(F.col("h") < cut).select("doc_id", "toxic").distinct()
+    examples = common.staged(docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "examples")
     none = np.zeros(0)
     prior = total.get(1, 0) / max(1, sum(total.values()))
     empty = Index(none.astype(np.uint64), none, none.astype(np.int64), none, none, np.zeros(1, np.int64), none.astype(np.int64), none, np.zeros((0, 0)), (none, none), prior, k)
@@ -280,6 +282,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
     any labelled row of both classes every score is the labelled share of toxic rows, or 0. Scores depend on texts alone.
     """
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    learnt = docs.select("doc_id", "text").where(~held_out()).join(marks, "doc_id")
-    index = fit(docs.select(F.col("text").cast("string").alias("text")), learnt, **parameters)
+    index = fit(docs.select("doc_id", F.col("text").cast("string").alias("text")), marks.where(~held_out()), **parameters)
     return score(docs.withColumn("held_out", F.coalesce(held_out(), F.lit(False))), index)
