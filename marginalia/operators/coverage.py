@@ -11,8 +11,8 @@ from marginalia.functions import text as T
 def cube(rows: DataFrame, file: str, group: str, fields: dict[str, Column]) -> DataFrame:
     """level, name, n, and for each field the count of rows that have it and their percentage: one pass for files, groups and the total."""
     counts = [F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in fields.items()]
-    sets = rows.groupingSets([[F.col(file)], [F.col(group)], []], F.col(file), F.col(group)).agg(F.grouping_id().alias("g"), F.count("*").alias("n"), *counts)
-    level = F.when(F.col("g") == 1, "file").when(F.col("g") == 2, "group").otherwise("total")
+    sets = rows.groupingSets([[F.col(file)], [F.col(group)], []], F.col(file), F.col(group)).agg(F.grouping_id().alias("__g"), F.count("*").alias("n"), *counts)
+    level = F.when(F.col("__g") == 1, "file").when(F.col("__g") == 2, "group").otherwise("total")
     return sets.select(level.alias("level"), F.coalesce(F.col(file).cast("string"), F.col(group).cast("string"), F.lit("")).alias("name"), "n", *fields, *[T.percent(F.col(k), F.col("n"), 2).alias(f"{k}_pct") for k in fields])
 
 
