@@ -19,10 +19,15 @@ def line_key(line: Column) -> Column:
     return F.translate(F.trim(line, F.lit(WHITE)), UPPER, LOWER)
 
 
-def _hashed(line: Column, min_chars: int) -> Column:
-    """128 bits of a line's key; null for keys that are too short to count."""
-    key = line_key(line)
-    return F.when(F.length(key) >= min_chars, F.struct(F.xxhash64(key).alias("k1"), F.xxhash64(F.lit("line"), key).alias("k2")))
+def _hash_input(line: Column) -> Column:
+    """A text that is equal for two lines if and only if their keys are, and cheap to make.
+
+    Lower-casing touches more than A-Z in other than ASCII text, so that is taken byte by byte as ISO-8859-1: there
+    lower() maps lead bytes only, and no two UTF-8 texts that differ in more than A-Z meet.
+    """
+    key = F.trim(line, F.lit(WHITE))
+    plain = F.octet_length(key) == F.length(key)
+    return F.when(plain, F.lower(key)).otherwise(F.lower(F.decode(F.encode(key, "UTF-8"), "ISO-8859-1")))
 
 
 class LineRuns:
@@ -84,28 +89,31 @@ def drop_frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """All columns of docs, with text rewritten, and n_lines, n_dropped.
 
     Lines whose key (see line_key) has at least `min_chars` code points and is found in at least `min_docs`
-    documents go everywhere; others stay, joined by a line feed. Each row counts as one document. A null or empty text
+    documents go everywhere; others stay, joined by a line feed. Each row counts as one document; rows that repeat id and text count once. A null or empty text
     is one empty line, which never counts if min_chars is at least 1; the result is then the empty text. Rows with a null
     or repeated id are treated by their own text. An empty table gives no rows. Columns of docs whose names clash with the
     added ones are replaced.
 
-    The documents come in `batches` batches; one pass counts each batch's keys, and LineRuns takes the batches in turn.
+    The documents come in `batches` batches, by the hash of their text; one pass splits them all into keys and positions, and
+    LineRuns takes the batches in turn.
     Lines are told apart by 128 bits. Only keys and positions are shuffled, and texts once, by id.
     """
     spark = docs.sparkSession
     lines = F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n", -1)
-    keyed = docs.select(F.pmod(F.xxhash64(text_col, id_col), F.lit(batches)).cast("int").alias("batch"), F.array_distinct(F.transform(lines, lambda x: _hashed(x, min_chars))).alias("keys"))
-    seen = keyed.select("batch", F.explode("keys").alias("k")).where("k is not null").select("batch", "k.*")
-    counted = common.staged(seen.groupBy("batch", *KEY).agg(F.count("*").alias("n")), "line-counts")
+    own = [F.col(id_col).alias("__m_id"), F.xxhash64(text_col).alias("__m_h1"), F.xxhash64(F.lit("text"), text_col).alias("__m_h2")]
+    doc = ["__m_id", "__m_h1", "__m_h2"]
+    rows = docs.select(*own, F.posexplode(lines).alias("pos", "line"))
+    rows = rows.where(F.length(F.trim("line", F.lit(WHITE))) >= min_chars).withColumn("x", _hash_input(F.col("line")))
+    rows = rows.select(*doc, "pos", F.xxhash64("x").alias("k1"), F.xxhash64(F.lit("line"), "x").alias("k2"))
+    rows = rows.groupBy(*doc, *KEY).agg(F.collect_set("pos").alias("at")).withColumn("batch", F.pmod("__m_h1", F.lit(batches)).cast("int"))
+    rows = common.staged(rows, "lines")
+    counted = common.staged(rows.groupBy("batch", *KEY).agg(F.count("*").alias("n")), "line-counts")
 
     runs = LineRuns(spark, min_docs, fanout)
     for b in range(batches):
         runs.add(counted.where(F.col("batch") == b).select(*KEY, "n"))
-    frequent = runs.frequent()
-
-    own = [F.col(id_col).alias("__m_id"), F.xxhash64(text_col).alias("__m_h1"), F.xxhash64(F.lit("text"), text_col).alias("__m_h2")]
-    places = docs.select(*own, F.posexplode(F.transform(lines, lambda x: _hashed(x, min_chars))).alias("__m_pos", "__m_k")).where("__m_k is not null").select("__m_id", "__m_h1", "__m_h2", "__m_pos", "__m_k.*")
-    bad = places.join(frequent, KEY, "left_semi").groupBy("__m_id", "__m_h1", "__m_h2").agg(F.collect_set("__m_pos").alias("__m_bad")).withColumnsRenamed({"__m_id": "__m_bid", "__m_h1": "__m_b1", "__m_h2": "__m_b2"})
+    bad = rows.join(runs.frequent(), KEY, "left_semi").groupBy(*doc).agg(F.flatten(F.collect_list("at")).alias("__m_bad"))
+    bad = bad.withColumnsRenamed({"__m_id": "__m_bid", "__m_h1": "__m_b1", "__m_h2": "__m_b2"})
     added = {"n_lines", "n_dropped", text_col}
     base = docs.select("*", *own)
     joined = base.join(bad, base["__m_id"].eqNullSafe(bad["__m_bid"]) & (base["__m_h1"] == bad["__m_b1"]) & (base["__m_h2"] == bad["__m_b2"]), "left")
