@@ -127,12 +127,14 @@ def sample(arcs: list, k: int, seed: int) -> tuple[list[tuple[float, float, list
     beta = masses(arcs)
     draw = random.Random(seed)
     end, whole = len(arcs), beta[0]
-    log, exp = math.log, math.exp
+    log, exp, uniform = math.log, math.exp, draw.random
 
     def gumbel(mean: float) -> float:
         return mean - log(-log(draw.random() or 5e-324))
 
-    heap = [(-gumbel(0.0), 0, 0, 0.0, None)]
+    root = gumbel(0.0)
+    heap = [(-root, 0, 0, 0.0, None)]
+    best = [-math.inf] * k + [root]  # the k + 1 greatest maxima of disjoint subtrees so far: what is less can't be among the results
     found, count = [], 1
     while heap:
         negative, _, at, weight, path = heapq.heappop(heap)
@@ -143,14 +145,21 @@ def sample(arcs: list, k: int, seed: int) -> tuple[list[tuple[float, float, list
                 n, w, ids = choices[0]
                 at, weight, path = at + n, weight + w, (path, ids)
                 continue
-            drawn = [gumbel(weight + w + beta[at + n] - whole) for n, w, _ in choices]
+            base = weight - whole
+            drawn = [base + w + beta[at + n] - log(-log(uniform() or 5e-324)) for n, w, _ in choices]
             most = max(drawn)
             first = drawn.index(most)
-            for j, ((n, w, ids), g) in enumerate(zip(choices, drawn)):
-                if j != first:
-                    v = top - g + log(-math.expm1(g - most)) if g < most else -math.inf
-                    value = top - max(0.0, v) - math.log1p(exp(-abs(v))) if v > -math.inf else top
+            least = best[0]
+            for j, g in enumerate(drawn):
+                if j == first or most - g > 0.7 and g + 0.7 < least:  # its value is less than g + ln 2
+                    continue
+                n, w, ids = choices[j]
+                v = top - g + log(-math.expm1(g - most)) if g < most else -math.inf
+                value = top - max(0.0, v) - math.log1p(exp(-abs(v))) if v > -math.inf else top
+                if value >= least:
                     heapq.heappush(heap, (-value, count, at + n, weight + w, (path, ids)))
+                    heapq.heapreplace(best, value)
+                    least = best[0]
                     count += 1
             n, w, ids = choices[first]
             at, weight, path = at + n, weight + w, (path, ids)
