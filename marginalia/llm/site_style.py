@@ -19,6 +19,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.S)
 WORDS = re.compile(r"[a-z]+")
+MARKS = re.compile(r"[a-z]+(?:\d(?!\d))?")
 # Fixed values of HTML: elements without content, with raw text, that start a block, and that an opening tag closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -42,7 +43,7 @@ THRESHOLD = 0.3
 @dataclass
 class Node:
     tag: str
-    style: str  # the element as the style tree sees it: tag, class, id and role without digits
+    style: str  # the element as the style tree sees it: tag, class, id and role without numbers
     noise: bool
     path: str
     items: list = field(default_factory=list)  # nodes and texts in order
@@ -51,7 +52,7 @@ class Node:
 def _node(tag: str, source: str, parent: Node | None) -> Node:
     marks = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(source)} if "=" in source else {}
     named = " ".join(marks.get(a, "") for a in ("class", "id", "role")).lower()
-    style = tag + ("." + "-".join(WORDS.findall(named)) if named.strip() else "")
+    style = tag + ("." + "-".join(MARKS.findall(named)) if named.strip() else "")
     noise = tag in NOISE_TAGS or not NOISE_WORDS.isdisjoint(WORDS.findall(named)) and tag not in ("html", "body", "article", "main")
     if tag == "header" and parent and any(parent.path.endswith(f"/{t}") or f"/{t}/" in parent.path or f"/{t}." in parent.path for t in INNER_HEADER):
         noise = not NOISE_WORDS.isdisjoint(set(WORDS.findall(named)) - {"header"})

@@ -220,7 +220,7 @@ def brute_top(rows, k):
 def test_top_k(spark, block, chunk):
     r = random.Random(7)
     rows = [(k, [r.choice([-1.0, 0.0, 0.5, r.uniform(-1, 1)]) for _ in range(6)]) for k in range(150)]
-    rows += [(200 + k, rows[3][1]) for k in range(25)] + [(300, None), (301, [1.0, None, 0, 0, 0, 0]), (302, [float("nan")] * 6), (310, [float("inf")] * 6), (320, [0.0] * 6), (None, [1.0] * 6)]
+    rows += [(200 + k, rows[3][1]) for k in range(25)] + [(300, None), (301, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (302, [float("nan")] * 6), (310, [float("inf")] * 6), (320, [0.0] * 6), (None, [1.0] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"score": F.lit(1), "block": F.lit(2), "chunk": F.lit(3), "rank": F.lit(4)})
     got = {(x.query_id, x.rank): (x.vec_id, x.score) for x in threshold_search.top_k(df, F.col("vec_id") % 10 == 0, 10, block=block, chunk=chunk).collect()}
     floats = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
