@@ -11,7 +11,7 @@ from marginalia.llm.common import table
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity.toxicity(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "evidence")
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels"), keep_text=False).select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,37 +86,46 @@ class Index:
         """
         bound = weight @ self.maxima[term]
         order = np.argsort(-bound, kind="stable")
+        order = order[: np.searchsorted(-bound[order], 0)]
         blocks = self.maxima.shape[1]
         best_row, best = np.zeros(0, np.int64), np.zeros(0)
-        for b in order:
-            if bound[b] <= 0 or len(best) == self.k and bound[b] < best[-1] - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(term.tolist(), weight.tolist()):
-                a, z = self.starts[t * blocks + b], self.starts[t * blocks + b + 1]
-                score[self.rows[a:z] - b * BLOCK] += w * self.values[a:z]
-            hit = np.flatnonzero(score > 0)
-            row = np.concatenate((best_row, hit + b * BLOCK))
-            score = np.concatenate((best, score[hit]))
+        at, step = 0, 4
+        while at < len(order) and not (len(best) == self.k and bound[order[at]] < best[-1] - 1e-12):
+            some = order[at : at + step]
+            at, step = at + step, 2 * step
+            first = self.starts[term[:, None] * blocks + some]
+            size = self.starts[term[:, None] * blocks + some + 1] - first
+            n = size.ravel()
+            place = np.repeat(first.ravel() - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            total = np.bincount(self.rows[place], weights=np.repeat(weight, size.sum(1)) * self.values[place])
+            found = np.flatnonzero(total)
+            score = total[found]
             if skip >= 0:
-                row, score = row[row != skip], score[row != skip]
+                found, score = found[found != skip], score[found != skip]
+            row, score = np.concatenate((best_row, found)), np.concatenate((best, score))
             top = np.lexsort((row, -np.round(score, 12)))[: self.k]
             best_row, best = row[top], score[top]
         return best_row, best
 
     def vote(self, row: np.ndarray, cosine: np.ndarray) -> float:
-        """The share of the toxic among the neighbours, each weighted by 1 / (0.05 + distance); without any, the prior."""
+        """The share of the toxic among the neighbours, by 1 / (0.05 + distance) less what that is at distance 1, and one vote for the prior.
+
+        So neighbours that share next to nothing with the text decide nothing.
+        """
         if not len(row):
             return self.prior
-        w = self.weights[row] / (0.05 + np.maximum(0.0, 1 - cosine))
-        return float((w * self.labels[row]).sum() / w.sum())
+        w = self.weights[row] * (1 / (0.05 + np.maximum(0.0, 1 - cosine)) - 1 / 1.05)
+        return float(((w * self.labels[row]).sum() + self.prior) / (w.sum() + 1))
 
     def calibrated(self, vote: float) -> float:
         return float(np.interp(vote, *self.curve)) if len(self.curve[0]) else vote
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The non-decreasing curve of least squares through (x, y) with weights, by pooling neighbours that disagree."""
+    """The non-decreasing curve of least squares through (x, y) with weights, by pooling neighbours that disagree.
+
+    A pool counts two rows more that have its mean x as their y, so that few rows don't make a probability of 0 or 1.
+    """
     order = np.argsort(x, kind="stable")
     pools: list[list[float]] = []
     for xi, yi, wi in zip(x[order].tolist(), y[order].tolist(), w[order].tolist()):
@@ -125,16 +134,16 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
             top = pools.pop()
             pools[-1] = [pools[-1][0] + top[0], pools[-1][1] + top[1], pools[-1][2], top[3]]
     xs = [v for p in pools for v in p[2:]]
-    ys = [p[0] / p[1] for p in pools for _ in range(2)]
-    return np.array(xs), np.array(ys)
+    ys = [(p[0] + p[2] + p[3]) / (p[1] + 2) for p in pools for _ in range(2)]
+    return np.array(xs), np.maximum.accumulate(np.array(ys)) if ys else np.array(ys)
 
 
 def fit(docs: DataFrame, marks: DataFrame, per_class: int = 6000, max_terms: int = 2048, k: int = 15) -> Index:
     """Learns from docs (doc_id, text) with marks (doc_id, toxic); all of docs gives the document frequencies.
 
     Of each class about `per_class` rows are examples, those of least hash of id and text (the hash only thins evenly, it is no input); an
-    example counts as many rows as its class was thinned by. Their ids, bounded by that, are broadcast to find their texts. Terms are the `max_terms` that mark the toxic class best (log-likelihood ratio of at least 15 over the
-    examples), and inverse document frequencies are counted over all of docs. The driver gets `max_terms` terms and
+    example counts as many rows as its class was thinned by. Their ids, bounded by that, are broadcast to find their texts. Terms are the `max_terms` that mark the toxic class best by log-likelihood ratio, as far as that is more than
+    chance gives the best of so many terms, and inverse document frequencies are counted over all of docs. The driver gets `max_terms` terms and
     the examples' weights on them, so what it holds is bounded by these parameters.
     """
     spark = docs.sparkSession
@@ -172,7 +181,9 @@ def fit(docs: DataFrame, marks: DataFrame, per_class: int = 6000, max_terms: int
 
     rate = f"(a + b) / {n1 + n0}"
     llr = f"2 * ({part('a', f'{n1} * {rate}')} + {part('b', f'{n0} * {rate}')} + {part(f'({n1} - a)', f'{n1} * (1 - {rate})')} + {part(f'({n0} - b)', f'{n0} * (1 - {rate})')})"
-    marked = counted.where(f"a >= 3 and a / {n1} > b / {n0}").select("h", F.expr(llr).alias("g")).where("g >= 15").orderBy(F.desc("g"), "h").limit(max_terms)
+    likely = common.staged(counted.where(f"a >= 3 and a / {n1} > b / {n0}").select("h", F.expr(llr).alias("g")), "terms")
+    least = 2 * np.log(100 * max(1, likely.count()))
+    marked = likely.where(F.col("g") >= float(least)).orderBy(F.desc("g"), "h").limit(max_terms)
     terms = np.sort(np.array([r["h"] for r in marked.collect()], np.int64).view(np.uint64))
     if not len(terms):
         return empty
@@ -237,14 +248,17 @@ def _index(terms: np.ndarray, idf: np.ndarray, rows: dict, weight: dict[int, flo
     return out
 
 
-def score(docs: DataFrame, index: Index, evidence: int = 3) -> DataFrame:
+def score(docs: DataFrame, index: Index, evidence: int = 3, keep_text: bool = True) -> DataFrame:
     """Adds score, predicted and evidence (the nearest examples: doc_id, cosine, toxic) to docs, which has a column text.
 
+    Without keep_text the text is not among the result's columns, and does not come back from the workers.
+
     A text without any term gets the share of toxic rows among the labelled that have none, null and empty texts too.
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)
     added = ("score", "predicted", "evidence")
-    rest = [c for c in docs.columns if c not in added]
+    rest = [c for c in docs.columns if c not in added and c != "text"]
+    order = [c for c in docs.columns if c not in added and (c != "text" or keep_text)]
 
     def scored(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
@@ -263,18 +277,19 @@ def score(docs: DataFrame, index: Index, evidence: int = 3) -> DataFrame:
                     known[key] = index.calibrated(index.vote(row, cosine)) if len(row) else index.prior, shown
                 out[text[a]] = known[key]
             score = np.clip([s for s, _ in out], 0, 1)
-            yield pa.record_batch([batch.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array([e for _, e in out], pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])))], names=["rest", *added])
+            kept = [batch.column(1)] if keep_text else []
+            yield pa.record_batch([batch.column(0), *kept, pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array([e for _, e in out], pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])))], names=["rest", *(["text"] if keep_text else []), *added])
 
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col("text").cast("string").alias("text"))
-    made = packed.mapInArrow(scored, f"rest {packed.schema['rest'].dataType.simpleString()}, score double, predicted int, evidence array<struct<doc_id:long,cosine:double,toxic:int>>")
-    return made.select(*[F.col(f"rest.`{c}`") for c in rest], *added)
+    packed = docs.select(F.struct(F.lit(1).alias("__m_one"), *[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col("text").cast("string").alias("text"))
+    made = packed.mapInArrow(scored, f"rest {packed.schema['rest'].dataType.simpleString()}, {'text string, ' if keep_text else ''}score double, predicted int, evidence array<struct<doc_id:long,cosine:double,toxic:int>>")
+    return made.select(*[F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in order], *added)
 
 
 def held_out():
     return F.pmod(common.doc_crc("doc_id"), F.lit(5)) == 0
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, keep_text: bool = True, **parameters) -> DataFrame:
     """docs (doc_id, text and more) with held_out, score, predicted and evidence.
 
     Learns from the labelled rows that are not held out (crc32 of the id as text, modulo 5, not 0); a document that
@@ -283,4 +298,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
     """
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     index = fit(docs.select("doc_id", F.col("text").cast("string").alias("text")), marks.where(~held_out()), **parameters)
-    return score(docs.withColumn("held_out", F.coalesce(held_out(), F.lit(False))), index)
+    return score(docs.withColumn("held_out", F.coalesce(held_out(), F.lit(False))), index, keep_text=keep_text)
