@@ -7,7 +7,7 @@ probability J**4, and 32 bands miss a pair of similarity 0.85 with probability 6
 Equal sets are one node. Inside a bucket no step makes all pairs: leaders are compared with the members of
 other components, links join components, and leaders that met every member retire. It ends when each bucket
 has one component left, so every pair of a bucket is either in one component or was compared, or cannot reach the threshold
-by the exact bound on shingles that no other node has.
+by an exact bound: in buckets of more than BIG nodes, on shingles that no other node of any such bucket has.
 """
 
 from __future__ import annotations
@@ -162,7 +162,9 @@ def _linked(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int,
     big = sets.join(members.where(F.col("m") > BIG).select("v").distinct(), "v", "left_semi")
     alone = big.select("v", F.explode("items").alias("h")).groupBy("h").agg(F.count("*").alias("c"), F.min("v").alias("v")).where("c = 1")
     alone = alone.groupBy("v").agg(F.count("*").alias("u"))
-    members = members.join(alone, "v", "left").select("b", "v", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("e"), F.col("v").alias("c"))
+    # The counts hold among nodes of big buckets only: in a small bucket, a shingle of `alone` may be shared with a node that is in no big one.
+    bound = F.when(F.col("m") > BIG, F.col("n") - F.coalesce("u", F.lit(0))).otherwise(F.col("n"))
+    members = members.join(alone, "v", "left").select("b", "v", "n", bound.alias("e"), F.col("v").alias("c"))
     labels = links = tested = None
     turn = 0
     while True:

@@ -142,6 +142,21 @@ def test_near_dedup_large_group(spark):
     assert got == {d: c for (d, _), (_, c) in zip(rows, brute.near(rows))}
 
 
+def test_near_dedup_common_passage(spark):
+    """Pairs of near copies whose texts also hold a passage of all documents: often just one of a pair is in a big bucket."""
+    r = random.Random(11)
+    passage, rows = sentence(r, 68), []
+    for p in range(600):
+        w = sentence(r, 100).split()
+        other = w[:12] + ["changed"] + w[13:70] + ["other"] + w[71:]
+        rows += [(2 * p, passage + " " + " ".join(w)), (2 * p + 1, passage + " " + " ".join(other))]
+    pairs = [rows[k : k + 2] for k in range(0, len(rows), 2)]
+    want = {d: c for two in pairs for (d, _), (_, c) in zip(two, brute.near(two))}
+    assert len(set(want.values())) == 600 and len({c for _, c in brute.near([two[0] for two in pairs])}) == 600
+    got = {x.doc_id: x.component_id for x in minmax_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_near_dedup_odd(odd_docs, odd_rows, no_docs):
     rows = pairs(odd_rows)
     got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minmax_dedup.near_dedup(odd_docs).collect())
