@@ -142,8 +142,8 @@ def fit(docs: DataFrame, marks: DataFrame, per_class: int = 6000, max_terms: int
     """Learns from docs (doc_id, text) with marks (doc_id, toxic); all of docs gives the document frequencies.
 
     Of each class about `per_class` rows are examples, those of least hash of id and text (the hash only thins evenly, it is no input); an
-    example counts as many rows as its class was thinned by. Their ids, bounded by that, are broadcast to find their texts. Terms are the `max_terms` that mark the toxic class best by log-likelihood ratio, as far as that is more than
-    chance gives the best of so many terms, and inverse document frequencies are counted over all of docs. The driver gets `max_terms` terms and
+    example counts as many rows as its class was thinned by. Their ids, bounded by that, are broadcast to find their texts. Terms are the `max_terms` that mark the toxic class best by log-likelihood ratio, of those
+    in three toxic examples (or, if no term is, in as many as any term is); so there are terms at every size. Inverse document frequencies are counted over all of docs. The driver gets `max_terms` terms and
     the examples' weights on them, so what it holds is bounded by these parameters.
     """
     spark = docs.sparkSession
@@ -181,9 +181,9 @@ def fit(docs: DataFrame, marks: DataFrame, per_class: int = 6000, max_terms: int
 
     rate = f"(a + b) / {n1 + n0}"
     llr = f"2 * ({part('a', f'{n1} * {rate}')} + {part('b', f'{n0} * {rate}')} + {part(f'({n1} - a)', f'{n1} * (1 - {rate})')} + {part(f'({n0} - b)', f'{n0} * (1 - {rate})')})"
-    likely = common.staged(counted.where(f"a >= 3 and a / {n1} > b / {n0}").select("h", F.expr(llr).alias("g")), "terms")
-    least = 2 * np.log(100 * max(1, likely.count()))
-    marked = likely.where(F.col("g") >= float(least)).orderBy(F.desc("g"), "h").limit(max_terms)
+    likely = common.staged(counted.where(f"a / {n1} > b / {n0}").select("h", "a", F.expr(llr).alias("g")), "terms")
+    most = likely.agg(F.max("a")).first()[0] or 0
+    marked = likely.where(F.col("a") >= min(3, most)).orderBy(F.desc("g"), "h").limit(max_terms)
     terms = np.sort(np.array([r["h"] for r in marked.collect()], np.int64).view(np.uint64))
     if not len(terms):
         return empty

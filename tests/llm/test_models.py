@@ -38,6 +38,12 @@ def test_toxicity_finds_marked_documents(spark):
     assert all(e.doc_id % 3 and zlib.crc32(str(e.doc_id).encode()) % 5 for r in out.values() for e in r.evidence)
 
 
+def test_few_examples_give_terms(spark):
+    docs = spark.createDataFrame([(1, "calm words here"), (2, "vile words here"), (3, "calm river")], "doc_id long, text string")
+    index = toxicity.fit(docs, spark.createDataFrame([(1, 0), (2, 1), (3, 0)], "doc_id long, toxic int"))
+    assert len(index.terms) and sorted(index.ids.tolist()) == [1, 2]
+
+
 def test_scores_ignore_ids_and_other_columns(spark):
     rows = toxic_rows(200)
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")

@@ -48,6 +48,15 @@ def test_held_out_accuracy(spark):
     assert np.mean([r.lang_pred == r.lang for r in rows]) > 0.97
 
 
+def test_toxic_stage_rejects_marked_documents(spark):
+    docs, labels = common.table(spark, SF, "documents"), common.table(spark, SF, "labels")
+    kept = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, SF).collect()}
+    marked = {r.doc_id for r in docs.where(r"lower(text) rlike '\\b(loser|trash|scum|disgusting)s?\\b'").collect()}
+    clean = {r.doc_id for r in labels.where("toxic = 0").collect()} - marked
+    assert len(marked) >= 7 and not kept & marked
+    assert len(kept & clean) > 0.85 * len(clean)
+
+
 def test_stages(spark):
     """Each stage against its plain version, on what its predecessor kept."""
     docs = common.table(spark, SF, "documents")
