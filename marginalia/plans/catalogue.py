@@ -498,9 +498,23 @@ def short_abstract_rejection(spark, sf_dir):
 
 @query()
 def fuzzy_block_unique(spark, sf_dir):
-    """Openings of even documents against distinct openings of odd ones, in blocks of the same language and first 12 letters."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", F.substring(T.compact("text"), 1, 12).alias("head"), F.substring(T.normal("text"), 1, 150).alias("opening")).where("head <> ''")
-    block = F.concat_ws("/", "lang", "head").alias("block")
-    left = docs.where("doc_id % 2 = 0").select("doc_id", block, F.col("opening").alias("lt"))
-    right = docs.where("doc_id % 2 = 1").groupBy(block, F.col("opening").alias("rt")).agg(F.min("doc_id").alias("match_id"))
-    return matching.fuzzy_unique(matching.blocked_pairs(left, right, "block"), ["doc_id"], "lt", "rt", "match_id").select("doc_id", "match_id", "score")
+    """Each document with the one other document of its language and source whose whole normal text fits: a single copy, else the best ratio.
+
+    Copies are one text: they are matched by counting, and only texts without a copy are compared with the others of their block. Of a
+    text with copies two ids are enough to make it ambiguous. Left rows of a block are dealt over tasks by salt.
+    """
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.struct("lang", "source").alias("block"), T.normal("text").alias("title")).where("title <> ''")
+    texts = docs.groupBy("block", "title").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    ids = F.explode(F.array_distinct(F.array("first", "last")))
+    copies = texts.where("n = 2").select("first", "last", ids.alias("doc_id"))
+    copies = copies.select("doc_id", F.when(F.col("doc_id") == F.col("first"), F.col("last")).otherwise(F.col("first")).alias("match_id"), F.lit(1.0).alias("score"))
+    salts = 8
+    left = texts.where("n = 1").select(F.struct("block", F.pmod(F.xxhash64("first"), F.lit(salts)).alias("salt")).alias("block"), F.col("first").alias("doc_id"), F.col("title").alias("lt"))
+    right = texts.select("block", F.col("title").alias("rt"), ids.alias("match_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<long>")))
+    right = right.select(F.struct("block", "salt").alias("block"), "rt", "match_id")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # time follows the pairs, not the bytes that adaptive execution would join tasks by
+    left, right = left.repartition(parts, "block"), right.repartition(parts, "block")
+    second = 0.80
+    # The ratio is at most that of the lengths; followers up to `second` count for nothing.
+    near = matching.blocked_pairs(left, right, "block").where((F.col("doc_id") != F.col("match_id")) & (2 * F.least(F.length("lt"), F.length("rt")) > second * (F.length("lt") + F.length("rt"))))
+    return matching.fuzzy_unique(near, ["doc_id"], "lt", "rt", "match_id", second=second).select("doc_id", "match_id", "score").unionByName(copies)
