@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -35,6 +36,7 @@ NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments contentinfo cookie cookies consent disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice pagination pager paywall popup promo promoted related replies respond search share sharing sidebar sidenav skip social sponsor sponsored subscribe toolbar widget".split()
 )
 INNER_HEADER = frozenset("article main section".split())
+DEEP = 200  # below, a path names its parent's by a digest, so that paths stay short at any depth
 GAMMA = 0.9
 MIN_PAGES = 4
 THRESHOLD = 0.3
@@ -46,6 +48,8 @@ class Node:
     style: str  # the element as the style tree sees it: tag, class, id and role without numbers
     noise: bool
     path: str
+    depth: int = 0
+    inner: bool = False  # it or an element around it is one of INNER_HEADER
     items: list = field(default_factory=list)  # nodes and texts in order
 
 
@@ -54,10 +58,14 @@ def _node(tag: str, source: str, parent: Node | None) -> Node:
     named = " ".join(marks.get(a, "") for a in ("class", "id", "role")).lower()
     style = tag + ("." + "-".join(MARKS.findall(named)) if named.strip() else "")
     noise = tag in NOISE_TAGS or not NOISE_WORDS.isdisjoint(WORDS.findall(named)) and tag not in ("html", "body", "article", "main")
-    if tag == "header" and parent and any(parent.path.endswith(f"/{t}") or f"/{t}/" in parent.path or f"/{t}." in parent.path for t in INNER_HEADER):
+    if tag == "header" and parent and parent.inner:
         noise = not NOISE_WORDS.isdisjoint(set(WORDS.findall(named)) - {"header"})
     hidden = re.search(r"display\s*:\s*none", marks.get("style", "")) or marks.get("aria-hidden") == "true" or re.search(r"\shidden(?=[\s/>=])", source)
-    return Node(tag, style, noise or bool(hidden), f"{parent.path if parent else ''}/{style}")
+    depth = parent.depth + 1 if parent else 1
+    above = parent.path if parent else ""
+    if depth > DEEP:
+        above = hashlib.sha1(above.encode("utf-8", "surrogatepass")).hexdigest()
+    return Node(tag, style, noise or bool(hidden), f"{above}/{style}", depth, bool(parent and parent.inner) or tag in INNER_HEADER)
 
 
 def parse(source: str) -> Node:
@@ -109,8 +117,7 @@ def parse(source: str) -> Node:
             close = source.find(">", at)
             at = len(source) if close < 0 else close + 1
             continue
-        if len(stack) < 200:
-            stack.append(node)
+        stack.append(node)
     return root
 
 

@@ -267,6 +267,18 @@ def test_blocks(page, want):
     assert site_style.blocks(site_style.parse(page), set()) == want
 
 
+def test_noise_ends_at_any_depth():
+    deep = 5000
+    page = "<body><article><p>Start.</p><div class='sidebar'>" + "<div>" * deep + "buy" + "</div>" * deep + "more to buy</div><p>End.</p></article></body>"
+    assert [t for b in site_style.blocks(site_style.parse(page), set()) if (t := "".join(b).strip())] == ["Start.", "End."]
+    page = "<body>" + "<div>" * deep + "<nav>skip</nav><p>Kept.</p>" + "</div>" * deep + "</body>"
+    assert [t for b in site_style.blocks(site_style.parse(page), set()) if (t := "".join(b).strip())] == ["Kept."]
+    node = site_style.parse(page)
+    while node.items and isinstance(node.items[0], site_style.Node):
+        node = node.items[0]
+        assert len(node.path) < 2000
+
+
 def test_style_tree_finds_noise_without_names(spark):
     """A strip that every page of a site repeats, in an element that says nothing about itself."""
     r = random.Random(1)
