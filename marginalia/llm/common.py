@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import gc
+import hashlib
 import sys
 import tempfile
 import uuid
@@ -23,10 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's spark.checkpoint.dir.
 
-    Only where that is unset (tests, one machine) a folder is made for the session.
+    Where that is unset, a local session (one machine, tests) gets a folder made for it, and a cluster an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: executors need a folder that all of them share")
         found = tempfile.mkdtemp(prefix="marginalia-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -36,16 +40,48 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/marginalia/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+#: The tables of each open scope, innermost last.
+_scopes: list[list[tuple[SparkSession, str]]] = []
+
+
+@contextlib.contextmanager
+def scope():
+    """Deletes the tables staged inside it when it ends; a result of these must be staged outside or be read before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _scopes.pop():
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def tidy(operator):
+    """operator, with its result staged and every other table of its run deleted."""
+
+    @functools.wraps(operator)
+    def run(*args, **kwargs) -> DataFrame:
+        with scope():
+            made = operator(*args, **kwargs)
+            return staged(made, operator.__name__, outside=True)
+
+    return run
+
+
+def staged(df: DataFrame, name: str, by: str | None = None, outside: bool = False) -> DataFrame:
     """df as a table written in the shared folder: cuts lineage and survives a lost executor.
 
-    The shuffle files that made it are released, so disk holds one stage at a time.
+    The shuffle files that made it are released, so disk holds one stage at a time. With `by`, rows lie in one folder for each value of
+    that column. The table belongs to the innermost scope, or with `outside` to the one around that.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     schema = df.schema
-    df.write.parquet(path)
-    del df
+    if len(_scopes) > outside:
+        _scopes[-1 - outside].append((spark, path))
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    del df, writer
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
@@ -81,9 +117,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_WHITE = np.zeros(256, dtype=bool)
 _IS_WHITE[list(WORD_WHITE)] = True
-_BYTE = stream(0x5EED, 256)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [2**64 - 1], np.uint64)
+_TURN = stream(0x7EA5E, 4) | np.uint64(1)
+_LONG = 128
 
 
 @functools.cache
@@ -105,19 +143,51 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
     return have[:n]
 
 
-def span_hashes(a: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every span [start, end) of the array a (bytes, code points or 64-bit hashes), by prefix sums of one polynomial."""
+def point_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every span [start, end) of code points, by prefix sums of one polynomial.
+
+    Different spans can be made that share it: callers compare the contents.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    sums = np.zeros(len(a) + 1, np.uint64)
-    value = a if a.dtype == np.uint64 else (_BYTE if a.dtype == np.uint8 else _point_values())[a]
-    np.cumsum(value * _power(_BASE, len(a)), out=sums[1:])
-    h = (sums[ends] - sums[starts]) * _power(_INVERSE, len(a))[starts]
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum(_point_values()[points] * _power(_BASE, len(points)), out=sums[1:])
+    h = (sums[ends] - sums[starts]) * _power(_INVERSE, len(points))[starts]
     return mix(h + (ends - starts).astype(np.uint64))
 
 
+def byte_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes, made apart from one another, of every span [start, end) of bytes: (2, spans).
+
+    Eight bytes at a time go through the finaliser of splitmix64, so no sum of bytes cancels; spans over _LONG bytes take both halves
+    of a BLAKE2b digest.
+    """
+    size = (ends - starts).astype(np.int64)
+    out = np.empty((2, len(starts)), np.uint64)
+    if not len(starts):
+        return out
+    padded = np.concatenate((buf, np.zeros(8, np.uint8)))
+    lanes = np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))
+    for k in range(2):
+        out[k] = mix(size.astype(np.uint64) * _TURN[k] + _TURN[k + 2])
+    lane = lanes[starts] & _KEEP[np.minimum(size, 8)]
+    for k in range(2):
+        out[k] = mix(out[k] ^ (lane * _TURN[k]))
+    live = np.flatnonzero((size > 8) & (size <= _LONG))
+    at, left = starts[live] + 8, size[live] - 8
+    while len(live):
+        lane = lanes[at] & _KEEP[np.minimum(left, 8)]
+        for k in range(2):
+            out[k, live] = mix(out[k, live] ^ (lane * _TURN[k]))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for j in np.flatnonzero(size > _LONG).tolist():
+        out[:, j] = np.frombuffer(hashlib.blake2b(buf[starts[j] : ends[j]].tobytes(), digest_size=16).digest(), "<u8")
+    return out
+
+
 def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words `[^\\x20\\x09-\\x0D]+` of whole texts, and each text's first word (n + 1 numbers).
+    """Two hashes (see byte_hashes) of the words `[^\\x20\\x09-\\x0D]+` of whole texts, and each text's first word (n + 1 numbers).
 
     Works through the texts in pieces cut at white space, so memory follows the piece and not the text.
     """
@@ -134,7 +204,7 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
         white = _IS_WHITE[buf]
         edge = np.flatnonzero(np.diff(np.concatenate(([True], white)).view(np.int8)))
         starts, ends = edge[::2], edge[1::2]
-        out.append(span_hashes(buf, starts, ends))
+        out.append(byte_hashes(buf, starts, ends))
         firsts = np.concatenate(([0], np.cumsum([len(t) + 1 for t in group])))
         counts.extend(np.diff(np.searchsorted(starts, firsts)).tolist())
         group.clear()
@@ -160,20 +230,34 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
             flush()
             size = 0
     flush()
-    hashes = np.concatenate(out) if out else np.zeros(0, np.uint64)
+    hashes = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.uint64)
     return hashes, np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
 
 
-_PLACE = stream(0xA11CE, 64) | np.uint64(1)
+def _places(seed: int, k: int) -> np.ndarray:
+    return stream(0xA11CE + seed, 2 * k) | np.uint64(1)
 
 
 def gram_hashes(words: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
-    """A hash of every k words in a row (over text borders as well: callers mask those)."""
-    n = len(words) - k + 1
+    """A 64-bit hash of every k words in a row (over text borders as well: callers mask those), from both hashes of each word."""
+    n = words.shape[1] - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     h = np.full(n, np.uint64((seed * 0x9E3779B97F4A7C15 + k) & (2**64 - 1)), np.uint64)
-    place = _PLACE if not seed else stream(0xA11CE + seed, 64) | np.uint64(1)
+    place = _places(seed, k)
     for j in range(k):
-        h += words[j : j + n] * place[j]
+        h += words[0, j : j + n] * place[2 * j]
+        h += words[1, j : j + n] * place[2 * j + 1]
+    return mix(h)
+
+
+def run_hashes(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of every run of `size` words from `start`; for short runs, as a run of k words costs k steps."""
+    most = int(sizes.max()) if len(sizes) else 0
+    place = _places(seed, max(1, most))
+    h = mix(sizes.astype(np.uint64) + np.uint64(seed + 1))
+    for j in range(most):
+        on = np.flatnonzero(sizes > j)
+        at = starts[on] + j
+        h[on] += words[0, at] * place[2 * j] + words[1, at] * place[2 * j + 1]
     return mix(h)

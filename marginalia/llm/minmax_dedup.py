@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm import common
-from marginalia.llm.common import gram_hashes, mix, span_hashes, stream, word_hashes
+from marginalia.llm.common import gram_hashes, mix, run_hashes, stream, word_hashes
 from marginalia.llm.substring_dedup import _batches
 
 PERMUTATIONS = 64
@@ -39,7 +39,7 @@ def shingle_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
         if b - a >= k:
             sets.append(np.unique(grams[a : b - k + 1]))
         else:
-            sets.append(span_hashes(words, np.array([a]), np.array([b])) if b > a else grams[:0])
+            sets.append(run_hashes(words, np.array([a]), np.array([b - a])) if b > a else grams[:0])
     sizes = np.array([len(s) for s in sets], np.int64)
     return (np.concatenate(sets) if sets else grams[:0]), np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
 
@@ -108,6 +108,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(emit, "v binary, n long, items array<long>").dropDuplicates(["v"])
 
 
+@common.tidy
 def components(edges: DataFrame) -> DataFrame:
     """(v, c): the least node of each node's component, by large and small stars; edges: (x, y), none from a node to itself.
 
@@ -134,6 +135,7 @@ def _reach(percent: int, inter: str, n1: str, n2: str) -> str:
     return f"{100 + percent} * {inter} >= {percent} * ({n1} + {n2})"
 
 
+@common.tidy
 def near_components(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame:
     """(doc, n, component): docs is (doc long, text string); component is the least doc of those that links reach."""
     found = common.staged(signatures(docs, k), "signatures")

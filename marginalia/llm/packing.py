@@ -20,13 +20,13 @@ END = 2
 def vocabulary() -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def token_pieces(docs: DataFrame, path: str, most: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of at most `most` tokens: doc_id, piece, start, length, ids_crc32.
 
-    A document is its text's ids and the id 2 (null text: only that). Longer ones are cut so that all pieces but the
+    A document is its text's ids, as the library `tokenizers` makes them from the file at `path`, and the id 2 (null text: only that). Longer ones are cut so that all pieces but the
     first are full.
     """
 
@@ -102,6 +102,7 @@ def plan(counts: dict[int, int], most: int) -> list[tuple[int, int, int, int, in
     return runs
 
 
+@common.tidy
 def pack(pieces: DataFrame, most: int = 1024) -> DataFrame:
     """Adds sequence_id and offset to pieces that have a length of 1 to `most`.
 

@@ -5,7 +5,8 @@ window's words alone, so equal windows choose the same anchor at the same place.
 windows that chose it, and these reach over a segment on both sides. Occurrences whose anchor is found once are
 done. For the others whole segments are compared first: every occurrence but the first of a segment is a repeat.
 Only where an anchor has several different segments, the first occurrence of each is extended window by window. So no
-step makes pairs, and what each shuffles is at most one row a window of repeated text.
+step makes pairs, and what each shuffles is at most one row a window of repeated text. Segments and windows are told apart by
+two 64-bit hashes, each made from two independent hashes of each word.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm import common
-from marginalia.llm.common import gram_hashes, span_hashes, word_hashes
+from marginalia.llm.common import gram_hashes, run_hashes, word_hashes
 
 SEED = 8
 LAST = (1 << 63) - 1
@@ -31,7 +32,7 @@ def signed(x: np.ndarray) -> pa.Array:
 
 def anchors(words: np.ndarray, firsts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Of every occurrence of an anchor: its hash, text, first window and number of windows (windows as word numbers)."""
-    m = len(words) - length + 1
+    m = words.shape[1] - length + 1
     none = np.zeros(0, np.int64)
     if m <= 0:
         return none.view(np.uint64), none, none, none
@@ -64,16 +65,16 @@ def _batches(rows: Iterator[pa.RecordBatch], most: int = 1 << 22) -> Iterator[tu
 
 
 def _occurrences(docs: DataFrame, length: int) -> DataFrame:
-    """(a, s, doc, i, n): anchor, hash of its segment, document, first window, windows."""
+    """(a, s, s2, doc, i, n): anchor, two hashes of its segment, document, first window, windows."""
 
     def emit(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _batches(rows):
             words, firsts = word_hashes(texts)
             a, text, i, n = anchors(words, firsts, length)
-            s = span_hashes(words, i, i + n + length - 1)
-            yield pa.record_batch([signed(a), signed(s), batch.column(0).take(pa.array(text)), pa.array((i - firsts[text]).astype(np.int32)), pa.array(n.astype(np.int32))], names=["a", "s", "doc", "i", "n"])
+            s, s2 = (run_hashes(words, i, n + length - 1, k) for k in range(2))
+            yield pa.record_batch([signed(a), signed(s), signed(s2), batch.column(0).take(pa.array(text)), pa.array((i - firsts[text]).astype(np.int32)), pa.array(n.astype(np.int32))], names=["a", "s", "s2", "doc", "i", "n"])
 
-    return docs.mapInArrow(emit, "a long, s long, doc long, i int, n int")
+    return docs.mapInArrow(emit, "a long, s long, s2 long, doc long, i int, n int")
 
 
 def _anchor_counts(docs: DataFrame, length: int) -> DataFrame:
@@ -100,30 +101,33 @@ def _windows(found: DataFrame, length: int) -> DataFrame:
             step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             i, text = np.repeat(i, n) + step, np.repeat(text, n)
             at = firsts[text] + i
-            w2 = gram_hashes(words, length, 1)[at] if len(at) else at
-            yield pa.record_batch([signed(span_hashes(words, at, at + length)), signed(w2), batch.column(0).take(pa.array(text)), pa.array(i.astype(np.int32))], names=["w1", "w2", "doc", "i"])
+            w1, w2 = (run_hashes(words, at, np.full(len(at), length), k) for k in range(2))
+            yield pa.record_batch([signed(w1), signed(w2), batch.column(0).take(pa.array(text)), pa.array(i.astype(np.int32))], names=["w1", "w2", "doc", "i"])
 
     return found.mapInArrow(emit, "w1 long, w2 long, doc long, i int")
 
 
+@common.tidy
 def repeats(docs: DataFrame, length: int = 20) -> DataFrame:
     """(doc, i, e, s): words [i, e) of a document are covered by windows that also start earlier; s is their hash.
 
-    docs: (doc long, text string).
+    docs: (doc long, text string). Sides that are summed are tables before they are joined, so that adaptive execution can split the
+    rows of a frequent anchor, segment or window over tasks.
     """
-    counts = _anchor_counts(docs, length).where("n > 1").select("a")
+    counts = common.staged(_anchor_counts(docs, length).where("n > 1").select("a"), "anchors")
     found = common.staged(_occurrences(docs, length).join(counts, "a", "left_semi"), "occurrences")
-    segments = common.staged(found.groupBy("a", "s").agg(F.min(F.struct("doc", "i", "n")).alias("first"), F.count("*").alias("times")), "segments")
+    segment = ["a", "s", "s2"]
+    segments = common.staged(found.groupBy(*segment).agg(F.min(F.struct("doc", "i", "n")).alias("first"), F.count("*").alias("times")), "segments")
 
-    known = segments.where("times > 1").select("a", "s", F.col("first.doc").alias("fd"), F.col("first.i").alias("fi"))
-    copies = found.join(known, ["a", "s"]).where("doc > fd or (doc = fd and i > fi)")
+    known = segments.where("times > 1").select(*segment, F.col("first.doc").alias("fd"), F.col("first.i").alias("fi"))
+    copies = found.join(known, segment).where("doc > fd or (doc = fd and i > fi)")
     copies = copies.select("doc", "i", (F.col("i") + F.col("n") + length - 1).alias("e"), "s")
 
     several = segments.groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a")
     firsts = segments.join(several, "a", "left_semi").select("first.*").groupBy("doc").agg(F.collect_list(F.struct("i", "n")).alias("at"))
     windows = common.staged(_windows(docs.join(firsts, "doc").select("doc", "text", "at"), length), "windows")
     first = windows.groupBy("w1", "w2").agg(F.min(F.struct("doc", "i")).alias("first"), F.count("*").alias("times")).where("times > 1")
-    first = first.select("w1", "w2", F.col("first.doc").alias("fd"), F.col("first.i").alias("fi"))
+    first = common.staged(first.select("w1", "w2", F.col("first.doc").alias("fd"), F.col("first.i").alias("fi")), "first-windows")
     later = windows.join(first, ["w1", "w2"]).where("doc > fd or (doc = fd and i > fi)")
     return copies.unionByName(later.select("doc", "i", (F.col("i") + length).alias("e"), F.col("w1").alias("s")))
 
@@ -158,7 +162,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, id_col: str = "doc_id", te
                     hashes, _ = word_hashes([text.encode()] if text else [])
                     fits = e <= len(words)
                     i, e, s = i[fits], e[fits], s[fits]
-                    own = span_hashes(hashes, i, e) == s
+                    own = run_hashes(hashes, i, e - i) == s
                     change = np.zeros(len(words) + 1, np.int64)
                     np.add.at(change, i[own], 1)
                     np.add.at(change, e[own], -1)

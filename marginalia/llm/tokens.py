@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import base64
 import functools
+import os
+import re
 import sys
 import unicodedata
 from array import array
@@ -11,7 +12,7 @@ from array import array
 import numpy as np
 import pandas as pd
 
-from marginalia.llm.common import span_hashes
+from marginalia.llm.common import point_hashes
 
 #: Fixed values of the vocabulary's split pattern: what may follow an apostrophe in one piece, and white space.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -52,19 +53,51 @@ def piece_starts(cp: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _distinct(cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each piece the number of its content, and of each content one piece that has it. The pieces follow one another without gaps.
+
+    Hashes propose equal pieces, and whole contents are compared; pieces that only share a hash are told apart one by one.
+    """
+    which, distinct = pd.factorize(point_hashes(cp, starts, ends))
+    where = np.empty(len(distinct), np.int64)
+    where[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+    size = ends - starts
+    other = size[where[which]] != size
+    first = np.where(other, starts, starts[where[which]])
+    same = cp[np.repeat(first - starts, size) + np.arange(len(cp))] == cp
+    other |= ~np.logical_and.reduceat(same, starts)
+    if other.any():
+        apart: dict[bytes, int] = {}
+        more = []
+        for k in np.flatnonzero(other).tolist():
+            content = cp[starts[k] : ends[k]].tobytes()
+            if content not in apart:
+                apart[content] = len(where) + len(more)
+                more.append(k)
+            which[k] = apart[content]
+        where = np.append(where, more).astype(np.int64)
+    return which, where
+
+
 class BatchTokenizer:
-    """Ids of texts by a byte-level BPE vocabulary (a file of ranks), without special tokens.
+    """Ids of texts by a file of the `tokenizers` library (byte-level BPE), without the tokens that it would add around a text.
 
-    They are the ids that `tokenizers` gives with the same vocabulary, as the tests check. Each distinct piece of the
-    split pattern is merged once and remembered; at most _MAX_KNOWN are kept.
+    The library makes all ids. It is asked for each distinct piece of the split pattern once, as a piece alone gives the ids that it has
+    in a text; at most _MAX_KNOWN are remembered. The file's added tokens are found in texts as the library finds them: a text
+    is split at them first.
     """
 
     def __init__(self, path: str) -> None:
-        import tiktoken
-
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.merge = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallel part
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.added = {}
+        for number, token in self.tokenizer.get_added_tokens_decoder().items():
+            if token.lstrip or token.rstrip or token.single_word:
+                raise ValueError(f"added tokens that take in what is around them are not supported: {token.content}")
+            self.added[token.content] = np.array([number], np.uint32)
+        self.split = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.known: dict[str, bytes] = {}
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
@@ -76,12 +109,20 @@ class BatchTokenizer:
         if len(known) + len(new) > _MAX_KNOWN:
             known = self.known = {}
             new = pieces
-        for p in new:
-            known[p] = array("I", self.merge(p)).tobytes()
+        new = list(dict.fromkeys(new))
+        for p, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            known[p] = array("I", found.ids).tobytes()
         return [known[p] for p in pieces]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Of each text its ids, as unsigned 32-bit numbers."""
+        if not self.split or not any(token in t for token in self.added for t in texts):
+            return self._ids(texts)
+        parts = [self.split.split(t) for t in texts]
+        plain = iter(self._ids([x for p in parts for x in p[::2]]))
+        return [np.concatenate([self.added[x] if k % 2 else next(plain) for k, x in enumerate(p)]) for p in parts]
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         whole = "".join(texts)
         if not whole:
             return [np.zeros(0, np.uint32) for _ in texts]
@@ -90,9 +131,7 @@ class BatchTokenizer:
         cp = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
         starts = piece_starts(cp, firsts)
         ends = np.append(starts[1:], len(cp))
-        which, distinct = pd.factorize(span_hashes(cp, starts, ends))
-        where = np.empty(len(distinct), np.int64)
-        where[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+        which, where = _distinct(cp, starts, ends)
         found = self._pieces([whole[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())])
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found), np.uint32)

@@ -1,4 +1,9 @@
-"""Toxicity from the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes."""
+"""Toxicity from the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
+
+All words of the examples are terms. A plain TF-IDF cosine ranks by topic and language first and finds few toxic texts (see the README
+for figures), so a term's weight is its TF-IDF times the square of its log odds between the classes, smoothed. That leaves every term
+and every example in the index.
+"""
 
 from __future__ import annotations
 
@@ -11,15 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm import common
-from marginalia.llm.common import mix, span_hashes
+from marginalia.llm.common import byte_hashes
 
-PREFIXES = (4, 5)
 BLOCK = 64
+SMOOTH = 5.0
 _CHARS = 1 << 21
 
 
 def term_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Terms of whole texts and the text of each: lower-cased runs of letters, and the first 4 and 5 bytes of longer ones."""
+    """Terms of whole texts and the text of each: lower-cased runs of letters."""
     data = [t.lower().encode() for t in texts]
     buf = np.frombuffer(b"\n".join(data) + b"\n", np.uint8)
     letter = (buf >= 128) | ((buf >= 97) & (buf <= 122))
@@ -27,12 +32,7 @@ def term_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = edge[::2], edge[1::2]
     firsts = np.cumsum([0] + [len(d) + 1 for d in data])
     text = np.searchsorted(firsts, starts, side="right") - 1
-    h, of = [span_hashes(buf, starts, ends)], [text]
-    for n in PREFIXES:
-        long = ends - starts > n
-        h.append(mix(span_hashes(buf, starts[long], starts[long] + n) + np.uint64(n)))
-        of.append(text[long])
-    return np.concatenate(h), np.concatenate(of)
+    return byte_hashes(buf, starts, ends)[0], text
 
 
 def _parts(rows: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -46,64 +46,93 @@ def _parts(rows: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.Rec
                 at, size = k + 1, 0
 
 
+def _counted(text: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, count), sorted by text and term."""
+    order = np.lexsort((term, text))
+    text, term = text[order], term[order]
+    first = np.flatnonzero(np.concatenate(([True], (np.diff(text) != 0) | (term[1:] != term[:-1]))[: len(text)]))
+    return text[first], term[first], np.diff(np.append(first, len(text)))
+
+
 def _bags(texts: list[str], terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, term number, count) of the known terms, sorted."""
     h, text = term_hashes(texts)
-    at = np.minimum(np.searchsorted(terms, h), len(terms) - 1) if len(terms) else np.zeros(len(h), np.int64)
-    known = terms[at] == h if len(terms) else np.zeros(len(h), bool)
-    pair, count = np.unique(text[known] * max(1, len(terms)) + at[known], return_counts=True)
-    return pair // max(1, len(terms)), pair % max(1, len(terms)), count
+    if not len(terms) or not len(h):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
+    known = terms[at] == h
+    return _counted(text[known], at[known])
+
+
+def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ..., of every range of `size` places, laid end to end."""
+    return np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
 
 
 @dataclass
 class Index:
-    """Unit TF-IDF vectors of the examples, by term, in blocks of BLOCK examples with each term's greatest weight in a block.
+    """Unit vectors of the examples, by term, in blocks of BLOCK examples with each term's greatest weight in each block that has it.
 
-    Examples are laid out by their strongest term, so that a query's terms are dense in few blocks.
+    Examples are laid out by their strongest term, so that a query's strong terms are dense in few blocks.
     """
 
     terms: np.ndarray
-    idf: np.ndarray
+    weight: np.ndarray  # of a term: its inverse document frequency times the square of its log odds
     ids: np.ndarray
     labels: np.ndarray
-    weights: np.ndarray
-    starts: np.ndarray  # of (term, block) in rows/values
+    rows_weight: np.ndarray
+    cells: np.ndarray  # (term, block) pairs: where a term's start
+    block: np.ndarray  # of a cell
+    maxima: np.ndarray  # of a cell
+    starts: np.ndarray  # of a cell, in rows/values
     rows: np.ndarray
     values: np.ndarray
-    maxima: np.ndarray  # (term, block)
     curve: tuple[np.ndarray, np.ndarray]
     prior: float
     k: int
 
     def vector(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(count)) * self.idf[term]
-        return w / np.sqrt((w * w).sum())
+        w = (1 + np.log(count)) * self.weight[term]
+        norm = np.sqrt((w * w).sum())
+        return w / norm if norm > 0 else w
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of greatest cosine above 0 (ties: first in the index), exactly.
 
         Blocks are read in the order of their bounds until no bound reaches the kth cosine.
         """
-        bound = weight @ self.maxima[term]
+        first = self.cells[term]
+        size = self.cells[term + 1] - first
+        cell, weight = _spread(first, size), np.repeat(weight, size)
+        block = self.block[cell]
+        bound = np.bincount(block, weights=weight * self.maxima[cell])
         order = np.argsort(-bound, kind="stable")
         order = order[: np.searchsorted(-bound[order], 0)]
-        blocks = self.maxima.shape[1]
         best_row, best = np.zeros(0, np.int64), np.zeros(0)
         at, step = 0, 4
-        while at < len(order) and not (len(best) == self.k and bound[order[at]] < best[-1] - 1e-12):
-            some = order[at : at + step]
-            at, step = at + step, 2 * step
-            first = self.starts[term[:, None] * blocks + some]
-            size = self.starts[term[:, None] * blocks + some + 1] - first
-            n = size.ravel()
-            place = np.repeat(first.ravel() - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-            total = np.bincount(self.rows[place], weights=np.repeat(weight, size.sum(1)) * self.values[place])
+        while at < len(order):
+            kth = best[-1] - 1e-9 if len(best) == self.k else 0.0
+            if bound[order[at]] < kth:
+                break
+            chosen = np.zeros(len(bound), bool)
+            chosen[order[at : at + step]] = True
+            chosen &= bound >= kth
+            at, step = at + step, 4 * step
+            here = chosen[block]
+            some = cell[here]
+            n = self.starts[some + 1] - self.starts[some]
+            place = _spread(self.starts[some], n)
+            total = np.bincount(self.rows[place], weights=np.repeat(weight[here], n) * self.values[place])
             found = np.flatnonzero(total)
             score = total[found]
             if skip >= 0:
                 found, score = found[found != skip], score[found != skip]
             row, score = np.concatenate((best_row, found)), np.concatenate((best, score))
-            top = np.lexsort((row, -np.round(score, 12)))[: self.k]
+            if len(row) > 4 * self.k:
+                near = score >= np.partition(score, len(score) - self.k)[len(score) - self.k] - 1e-9
+                row, score = row[near], score[near]
+            top = np.lexsort((row, -np.round(score, 9)))[: self.k]
             best_row, best = row[top], score[top]
         return best_row, best
 
@@ -114,7 +143,7 @@ class Index:
         """
         if not len(row):
             return self.prior
-        w = self.weights[row] * (1 / (0.05 + np.maximum(0.0, 1 - cosine)) - 1 / 1.05)
+        w = self.rows_weight[row] * (1 / (0.05 + np.maximum(0.0, 1 - cosine)) - 1 / 1.05)
         return float(((w * self.labels[row]).sum() + self.prior) / (w.sum() + 1))
 
     def calibrated(self, vote: float) -> float:
@@ -138,66 +167,59 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(xs), np.maximum.accumulate(np.array(ys)) if ys else np.array(ys)
 
 
-def fit(docs: DataFrame, marks: DataFrame, per_class: int = 6000, max_terms: int = 2048, k: int = 15) -> Index:
+def _empty(prior: float, k: int) -> Index:
+    none, zero = np.zeros(0), np.zeros(1, np.int64)
+    whole = none.astype(np.int64)
+    return Index(none.astype(np.uint64), none, whole, none, none, zero, whole, none, zero, whole, none, (none, none), prior, k)
+
+
+def fit(docs: DataFrame, marks: DataFrame, per_class: int = 2000, k: int = 15) -> Index:
     """Learns from docs (doc_id, text) with marks (doc_id, toxic); all of docs gives the document frequencies.
 
-    Of each class about `per_class` rows are examples, those of least hash of id and text (the hash only thins evenly, it is no input); an
-    example counts as many rows as its class was thinned by. Their ids, bounded by that, are broadcast to find their texts. Terms are the `max_terms` that mark the toxic class best by log-likelihood ratio, of those
-    in three toxic examples (or, if no term is, in as many as any term is); so there are terms at every size. Inverse document frequencies are counted over all of docs. The driver gets `max_terms` terms and
-    the examples' weights on them, so what it holds is bounded by these parameters.
+    Rows of equal text and label are one example. Of each class about `per_class` examples are taken, those of least text hash (the hash
+    only thins evenly, it is no input); an example counts as many as its class was thinned by. Their ids, bounded by that, are broadcast to
+    find their texts. All their words are terms. The driver gets the examples' words, the tasks their index. Log odds of a term come from
+    the examples, inverse document frequencies from all of docs. Ids decide nothing: examples are ordered by their texts.
     """
-    spark = docs.sparkSession
-    known = docs.where("doc_id is not null and text is not null").select("doc_id", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("h"))
-    labelled = common.staged(known.join(marks.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")), "doc_id"), "labelled")
+    text = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("text"), "text").alias("h2")]
+    known = docs.where("doc_id is not null and text is not null").select("doc_id", *text)
+    labelled = known.join(marks.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")), "doc_id")
+    labelled = common.staged(labelled.groupBy("h1", "h2", "toxic").agg(F.min("doc_id").alias("doc_id")), "labelled")
     total = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    share = {y: min(1.0, per_class / n) for y, n in total.items()}
-    cut = F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0)) * (1 << 30)
-    chosen = labelled.where(F.col("h") < cut).select("doc_id", "toxic").distinct()
-    examples = common.staged(docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "examples")
-    none = np.zeros(0)
     prior = total.get(1, 0) / max(1, sum(total.values()))
-    empty = Index(none.astype(np.uint64), none, none.astype(np.int64), none, none, np.zeros(1, np.int64), none.astype(np.int64), none, np.zeros((0, 0)), (none, none), prior, k)
-    n = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(n) < 2:
-        return empty
+    if len(total) < 2:
+        return _empty(prior, k)
+    share = {y: min(1.0, per_class / n) for y, n in total.items()}
+    cut = F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * (1 << 30)
+    chosen = labelled.where(F.pmod("h1", F.lit(1 << 30)) < cut)
+    found = docs.where("text is not null").select("doc_id", "text", *text)
+    examples = found.join(F.broadcast(chosen), ["doc_id", "h1", "h2"]).dropDuplicates(["h1", "h2", "toxic"])
 
-    def frequencies(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _parts(rows, 0):
+    def words(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in _parts(rows, 4):
             h, text = term_hashes(texts)
-            order = np.lexsort((text, h))
-            h, text = h[order], text[order]
-            first = np.concatenate(([True], (np.diff(h) != 0) | (np.diff(text) != 0)))[: len(h)]
-            h, text = h[first], text[first]
-            toxic = np.asarray(batch.column(1))[text]
-            term, which = np.unique(h, return_inverse=True)
-            n1 = np.bincount(which, weights=toxic, minlength=len(term)).astype(np.int64)
-            yield pa.record_batch([pa.array(term.view(np.int64)), pa.array(n1), pa.array(np.bincount(which, minlength=len(term)).astype(np.int64) - n1)], names=["h", "a", "b"])
-
-    counted = examples.select("text", "toxic").mapInArrow(frequencies, "h long, a long, b long").groupBy("h").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    n1, n0 = n[1], n[0]
-
-    def part(seen: str, expected: str) -> str:
-        return f"if({seen} > 0, {seen} * ln({seen} / ({expected})), 0)"
-
-    rate = f"(a + b) / {n1 + n0}"
-    llr = f"2 * ({part('a', f'{n1} * {rate}')} + {part('b', f'{n0} * {rate}')} + {part(f'({n1} - a)', f'{n1} * (1 - {rate})')} + {part(f'({n0} - b)', f'{n0} * (1 - {rate})')})"
-    likely = common.staged(counted.where(f"a / {n1} > b / {n0}").select("h", "a", F.expr(llr).alias("g")), "terms")
-    most = likely.agg(F.max("a")).first()[0] or 0
-    marked = likely.where(F.col("a") >= min(3, most)).orderBy(F.desc("g"), "h").limit(max_terms)
-    terms = np.sort(np.array([r["h"] for r in marked.collect()], np.int64).view(np.uint64))
-    if not len(terms):
-        return empty
+            text, term, count = _counted(text, h)
+            bounds = pa.array(np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (term.view(np.int64), count.astype(np.int32))]
+            yield pa.record_batch([*(batch.column(j) for j in range(4)), *lists], names=["doc_id", "toxic", "h1", "h2", "term", "count"])
+
+    rows = examples.select("doc_id", "toxic", "h1", "h2", "text").mapInArrow(words, "doc_id long, toxic int, h1 long, h2 long, term array<long>, count array<int>").toArrow().combine_chunks()
+    rows = rows.sort_by([("h1", "ascending"), ("h2", "ascending"), ("toxic", "ascending")])
+    labels = rows["toxic"].to_numpy()
+    lists = rows["term"].combine_chunks()
+    size = lists.value_lengths().to_numpy()
+    term, count = lists.flatten().to_numpy().view(np.uint64), rows["count"].combine_chunks().flatten().to_numpy()
+    n = np.bincount(labels, minlength=2)
+    if not n.all() or not len(term):
+        return _empty(prior, k)
+    terms, term = np.unique(term, return_inverse=True)
+    example = np.repeat(np.arange(len(labels)), size)
     idf = inverse_frequencies(docs, terms)
-
-    def weights(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _parts(rows, 1):
-            text, term, count = _bags(texts, terms)
-            bounds = np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x.astype(np.int32))) for x in (term, count)]
-            yield pa.record_batch([batch.column(0), batch.column(2), *lists], names=["doc_id", "toxic", "term", "count"])
-
-    rows = examples.mapInArrow(weights, "doc_id long, toxic int, term array<int>, count array<int>").toArrow().to_pydict()
-    return _index(terms, idf, rows, {y: total[y] / n[y] for y in n}, k)
+    a = np.bincount(term, weights=labels[example], minlength=len(terms))
+    b = np.bincount(term, minlength=len(terms)) - a
+    odds = n[1] / n.sum()
+    relevance = np.log((a + SMOOTH * odds) / (b + SMOOTH * (1 - odds)) * (1 - odds) / odds) ** 2
+    return _index(terms, idf * relevance, rows["doc_id"].to_numpy(), labels, {y: total[y] / n[y] for y in (0, 1)}, example, term, count, k)
 
 
 def inverse_frequencies(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
@@ -212,39 +234,44 @@ def inverse_frequencies(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
         yield pa.record_batch([pa.array(at.astype(np.int64)), pa.array(df[at])], names=["at", "n"])
 
     df = np.zeros(len(terms) + 1)
-    for r in docs.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
-        df[r["at"]] = r["n"]
+    found = docs.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    df[found["at"].to_numpy()] = found["n"].to_numpy()
     return np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
 
-def _index(terms: np.ndarray, idf: np.ndarray, rows: dict, weight: dict[int, float], k: int) -> Index:
-    """The index over the examples that have a term; the others give the prior of texts without any."""
-    has = [i for i, t in enumerate(rows["term"]) if t]
-    without = [i for i, t in enumerate(rows["term"]) if not t]
-    held = sum(weight[rows["toxic"][i]] for i in without)
-    prior = sum(weight[1] for i in without if rows["toxic"][i]) / (held + 1) if without else 0.0
-    vectors = []
-    for i in has:
-        w = (1 + np.log(rows["count"][i])) * idf[rows["term"][i]]
-        vectors.append(w / np.sqrt((w * w).sum()))
-    strongest = [rows["term"][i][int(np.argmax(v))] for i, v in zip(has, vectors)]
-    ids = [-1 if rows["doc_id"][i] is None else rows["doc_id"][i] for i in has]
-    order = sorted(range(len(has)), key=lambda j: (strongest[j], len(vectors[j]), ids[j]))
-    blocks = max(1, -(-len(has) // BLOCK))
-    term = np.concatenate([np.asarray(rows["term"][has[j]], np.int64) for j in order]) if order else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(order)), [len(vectors[j]) for j in order])
-    value = np.concatenate([vectors[j] for j in order]) if order else np.zeros(0)
+def _index(terms: np.ndarray, weight: np.ndarray, ids: np.ndarray, labels: np.ndarray, of_class: dict[int, float], example: np.ndarray, term: np.ndarray, count: np.ndarray, k: int) -> Index:
+    """The index over the examples that have a term, given (example, term, count) sorted; the others give the prior of texts without any."""
+    value = (1 + np.log(count)) * weight[term]
+    norm = np.sqrt(np.bincount(example, weights=value * value, minlength=len(labels)))
+    row_weight = np.where(labels > 0, of_class[1], of_class[0])
+    without = norm == 0
+    overall = (row_weight * labels).sum() / row_weight.sum()
+    prior = float(((row_weight * labels)[without].sum() + overall) / (row_weight[without].sum() + 1))
+    fits = ~without[example]
+    example, term, value = example[fits], term[fits], value[fits] / norm[example[fits]]
+    has = np.flatnonzero(~without)
+    by = np.lexsort((-value, example))
+    strongest = np.zeros(len(labels), np.int64)
+    firsts = by[np.searchsorted(example[by], has)] if len(has) else has
+    strongest[has] = term[firsts]
+    order = has[np.lexsort((has, strongest[has]))]
+    row_of = np.zeros(len(labels), np.int64)
+    row_of[order] = np.arange(len(order))
+    row = row_of[example]
     place = np.lexsort((row, term))
-    term, row, value = term[place], row[place], value[place]
-    cell = term * blocks + row // BLOCK
-    maxima = np.zeros(len(terms) * blocks)
-    np.maximum.at(maxima, cell, value)
-    starts = np.searchsorted(cell, np.arange(len(terms) * blocks + 1))
-    labels = np.array([rows["toxic"][has[j]] for j in order], float)
-    out = Index(terms, idf, np.array([ids[j] for j in order], np.int64), labels, np.where(labels > 0, weight[1], weight[0]), starts, row, value, maxima.reshape(len(terms), blocks), (np.zeros(0), np.zeros(0)), float(prior), k)
-    votes = [out.vote(*out.nearest(np.asarray(rows["term"][has[j]], np.int64), vectors[j], skip=at)) for at, j in enumerate(order)]
+    blocks = max(1, -(-len(order) // BLOCK))
+    key = term[place] * blocks + row[place] // BLOCK
+    starts = np.flatnonzero(np.concatenate(([True], np.diff(key) != 0))[: len(key)])
+    cell = key[starts]
+    maxima = np.maximum.reduceat(value[place], starts) if len(starts) else np.zeros(0)
+    cells = np.searchsorted(cell, np.arange(len(terms) + 1) * blocks)
+    starts = np.append(starts, len(key))
+    y = labels[order].astype(float)
+    out = Index(terms, weight, ids[order], y, row_weight[order], cells, (cell % blocks).astype(np.int32), maxima, starts, row[place].astype(np.int32), value[place], (np.zeros(0), np.zeros(0)), prior, k)
+    cut = np.searchsorted(example, np.arange(len(labels) + 1))
+    votes = [out.vote(*out.nearest(term[cut[j] : cut[j + 1]], value[cut[j] : cut[j + 1]], skip=at)) for at, j in enumerate(order.tolist())]
     if votes:
-        out.curve = isotonic(np.array(votes), labels, out.weights)
+        out.curve = isotonic(np.array(votes), y, out.rows_weight)
     return out
 
 
@@ -253,7 +280,8 @@ def score(docs: DataFrame, index: Index, evidence: int = 3, keep_text: bool = Tr
 
     Without keep_text the text is not among the result's columns, and does not come back from the workers.
 
-    A text without any term gets the share of toxic rows among the labelled that have none, null and empty texts too.
+    A text without any term of the examples gets the share of toxic rows among the examples without terms, smoothed by the share among all;
+    null and empty texts too.
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)
     added = ("score", "predicted", "evidence")
@@ -297,5 +325,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep_text: bool = True, **param
     any labelled row of both classes every score is the labelled share of toxic rows, or 0. Scores depend on texts alone.
     """
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    index = fit(docs.select("doc_id", F.col("text").cast("string").alias("text")), marks.where(~held_out()), **parameters)
+    with common.scope():
+        index = fit(docs.select("doc_id", F.col("text").cast("string").alias("text")), marks.where(~held_out()), **parameters)
     return score(docs.withColumn("held_out", F.coalesce(held_out(), F.lit(False))), index, keep_text=keep_text)

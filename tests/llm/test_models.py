@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -38,45 +39,84 @@ def test_toxicity_finds_marked_documents(spark):
     assert all(e.doc_id % 3 and zlib.crc32(str(e.doc_id).encode()) % 5 for r in out.values() for e in r.evidence)
 
 
-def test_few_examples_give_terms(spark):
+def test_all_examples_and_words_are_in_the_index(spark):
     docs = spark.createDataFrame([(1, "calm words here"), (2, "vile words here"), (3, "calm river")], "doc_id long, text string")
     index = toxicity.fit(docs, spark.createDataFrame([(1, 0), (2, 1), (3, 0)], "doc_id long, toxic int"))
-    assert len(index.terms) and sorted(index.ids.tolist()) == [1, 2]
+    assert len(index.terms) == 5 and sorted(index.ids.tolist()) == [1, 2, 3]
 
 
 def test_scores_ignore_ids_and_other_columns(spark):
+    """Other ids and another order, at the fit too, give the same scores."""
     rows = toxic_rows(200)
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
-    index = toxicity.fit(docs, spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int"))
-    a = toxicity.score(docs, index).select("text", "score").collect()
-    b = toxicity.score(docs.withColumn("doc_id", F.col("doc_id") * -17).withColumn("lang", F.lit("x")).repartition(3), index).select("text", "score").collect()
+    labels = spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int")
+    other = docs.withColumn("doc_id", F.col("doc_id") * -17).withColumn("lang", F.lit("x")).repartition(3)
+    a = toxicity.score(docs, toxicity.fit(docs, labels)).select("text", "score").collect()
+    b = toxicity.score(other, toxicity.fit(other, labels.withColumn("doc_id", F.col("doc_id") * -17))).select("text", "score").collect()
     assert Counter(map(tuple, a)) == Counter(map(tuple, b))
 
 
 def test_block_max_search_is_exact():
     r = np.random.default_rng(3)
     terms = np.sort(r.integers(0, 1 << 62, 40).astype(np.uint64))
-    rows = {"doc_id": list(range(500)), "toxic": r.integers(0, 2, 500).tolist(), "term": [], "count": []}
-    for _ in range(500):
-        t = sorted(r.choice(40, r.integers(1, 6), replace=False).tolist())
-        rows["term"].append(t)
-        rows["count"].append(r.integers(1, 4, len(t)).tolist())
-    index = toxicity._index(terms, r.random(40) + 1, rows, {0: 1.0, 1: 1.0}, 15)
-    dense = np.zeros((500, 40))
-    blocks = index.maxima.shape[1]
-    for t in range(40):
-        a, z = index.starts[t * blocks], index.starts[(t + 1) * blocks]
-        dense[index.rows[a:z], t] = index.values[a:z]
-    assert np.allclose((dense**2).sum(1), 1)
+    bags = [np.sort(r.choice(40, r.integers(1, 6), replace=False)) for _ in range(500)]
+    example, term = np.repeat(np.arange(500), [len(t) for t in bags]), np.concatenate(bags)
+    count, weight, labels = r.integers(1, 4, len(term)), r.random(40) + 1, r.integers(0, 2, 500)
+    index = toxicity._index(terms, weight, np.arange(500), labels, {0: 1.0, 1: 1.0}, example, term, count, 15)
+    plain = np.zeros((500, 40))
+    plain[example, term] = (1 + np.log(count)) * weight[term]
+    dense = (plain / np.sqrt((plain**2).sum(1, keepdims=True)))[index.ids]
+    assert (index.labels == labels[index.ids]).all()
     for _ in range(50):
         t = np.sort(r.choice(40, 4, replace=False))
         w = index.vector(t, r.integers(1, 3, 4))
         row, cosine = index.nearest(t, w)
         score = dense[:, t] @ w
-        best = np.lexsort((np.arange(500), -np.round(score, 12)))[:15]
+        best = np.lexsort((np.arange(500), -np.round(score, 9)))[:15]
         assert row.tolist() == best.tolist() and np.allclose(cosine, score[best])
 
 
+def brute_toxicity(rows, labels, k=15):
+    """Scores of (id, text) by plain dictionaries and a scan of all examples."""
+    bags = [Counter(re.findall(r"(?:[a-z]|[^\x00-\x7f])+", (t or "").lower())) for _, t in rows]
+    seen, examples = set(), []
+    for (d, t), bag in zip(rows, bags):
+        if d in labels and zlib.crc32(str(d).encode()) % 5 and t is not None and (t, labels[d]) not in seen:
+            seen.add((t, labels[d]))
+            examples.append((bag, labels[d]))
+    n1, n0 = sum(y for _, y in examples), sum(1 - y for _, y in examples)
+    odds = n1 / (n1 + n0)
+    whole = Counter(w for b in bags for w in b)
+    marks = [Counter(w for b, y in examples if y == c for w in b) for c in (0, 1)]
+    weight = {w: (math.log((1 + len(rows)) / (1 + whole[w])) + 1) * math.log((marks[1][w] + 5 * odds) / (marks[0][w] + 5 * (1 - odds)) * (1 - odds) / odds) ** 2 for w in marks[0] + marks[1]}
+
+    def vector(bag):
+        v = {w: (1 + math.log(c)) * weight[w] for w, c in bag.items() if w in weight}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()} if norm else {}
+
+    vectors = [vector(b) for b, _ in examples]
+
+    def vote(v, skip=None):
+        cosines = sorted(((sum(x * e[w] for w, x in v.items() if w in e), y) for j, (e, (_, y)) in enumerate(zip(vectors, examples)) if j != skip), key=lambda c: -c[0])
+        near = [(c, y) for c, y in cosines[:k] if c > 0]
+        prior = odds  # no example is without terms here
+        w = [1 / (0.05 + max(0, 1 - c)) - 1 / 1.05 for c, _ in near]
+        return (sum(a * y for a, (_, y) in zip(w, near)) + prior) / (sum(w) + 1) if near else prior
+
+    curve = toxicity.isotonic(np.array([vote(v, j) for j, v in enumerate(vectors)]), np.array([y for _, y in examples], float), np.ones(len(examples)))
+    return [float(np.interp(vote(v), *curve)) if (v := vector(b)) else odds for b in bags]
+
+
+def test_toxicity_equals_brute_force(spark):
+    rows = [r[:2] for r in toxic_rows(150)]
+    labels = {d: y for d, _, y in toxic_rows(150) if d % 3}
+    docs = spark.createDataFrame([*rows, (900, None), (901, "")], "doc_id long, text string")
+    out = {r.doc_id: r.score for r in toxicity.toxicity(docs, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")).collect()}
+    want = brute_toxicity([*rows, (900, None), (901, "")], labels)
+    assert [round(out[d], 6) for d, _ in rows] + [out[900], out[901]] == pytest.approx(want, abs=1e-6)
+
+
 def test_isotonic():
     x, y = toxicity.isotonic(np.array([0.1, 0.2, 0.3, 0.4]), np.array([0, 1, 0, 1.0]), np.ones(4))
     assert np.all(np.diff(y) >= 0) and abs(np.interp(0.25, x, y) - 1.5 / 4) < 1e-9
@@ -140,15 +180,34 @@ def test_ids_equal_the_tokenizer(odd_rows):
     from tokenizers import Tokenizer
 
     known = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    known.encode_special_tokens = True
     r = random.Random(0)
     alphabet = "ab's'tre 'llve\n\t  '''dm12²½é漢🙂  !?.\x1c 　"
-    texts = [t or "" for _, t, *_ in odd_rows] + ["<|endoftext|>", "it's we'll I'VE 'sun"] + ["".join(r.choice(alphabet) for _ in range(r.randrange(40))) for _ in range(3000)]
+    texts = [t or "" for _, t, *_ in odd_rows] + ["<|endoftext|>", "hello <|endoftext|> world", "a<|endoftext|><|endoftext|>  b<|endoftext", "it's we'll I'VE 'sun"] + ["".join(r.choice(alphabet) for _ in range(r.randrange(40))) for _ in range(3000)]
     of = tokens.batch_tokenizer(packing.vocabulary())
     got = [x for a, b in tokens.in_groups(texts, 5000) for x in of.ids(texts[a:b])]
     assert [x.tolist() for x in got] == [e.ids for e in known.encode_batch(texts, add_special_tokens=False)]
 
 
+def thue_morse(n):
+    return "".join("ab"[k.bit_count() % 2] for k in range(n))
+
+
+def test_pieces_that_share_a_hash():
+    """Two words of one polynomial hash; the ids must still be those of their contents."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    one = thue_morse(4096)
+    two = one.translate(str.maketrans("ab", "ba"))
+    cp = np.frombuffer((one + two).encode("utf-32-le"), np.uint32)
+    starts, ends = np.array([0, 4096]), np.array([4096, 8192])
+    assert len(set(tokens.point_hashes(cp, starts, ends).tolist())) == 1
+    assert tokens._distinct(cp, starts, ends)[0].tolist() == [0, 1]
+    text = f"{one} {two} {one} x {two}"
+    known = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert tokens.batch_tokenizer(packing.vocabulary()).ids([text])[0].tolist() == known.encode(text, add_special_tokens=False).ids
+
+
 def test_known_pieces_are_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "_MAX_KNOWN", 10)
     of = tokens.BatchTokenizer(packing.vocabulary())
@@ -195,10 +254,12 @@ def test_plan_is_best_fit():
 
 def test_packing(odd_docs, odd_rows, no_docs):
     rows = packing.pack_documents(odd_docs).collect()
-    of = tokens.batch_tokenizer(packing.vocabulary())
+    from tokenizers import Tokenizer
+
+    of = Tokenizer.from_file(packing.vocabulary())
     want = Counter()
     for d, t, *_ in odd_rows:
-        ids = np.append(of.ids([t or ""])[0], 2).astype("<u4")
+        ids = np.append(of.encode(t or "", add_special_tokens=False).ids, 2).astype("<u4")
         first = (len(ids) - 1) % 1024 + 1
         cuts = [0, *range(first, len(ids) + 1, 1024)]
         for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
