@@ -40,8 +40,8 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/marginalia/{name}-{uuid.uuid4().hex}"
 
 
-#: The tables of each open scope, innermost last.
-_scopes: list[list[tuple[SparkSession, str]]] = []
+#: The tables of each open scope, innermost last: their session, place, and name in the catalogue, if any.
+_scopes: list[list[tuple[SparkSession, str, str | None]]] = []
 
 
 @contextlib.contextmanager
@@ -51,7 +51,9 @@ def scope():
     try:
         yield
     finally:
-        for spark, path in _scopes.pop():
+        for spark, path, name in _scopes.pop():
+            if name:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
             at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
@@ -78,7 +80,7 @@ def staged(df: DataFrame, name: str, by: str | None = None, outside: bool = Fals
     path = fresh_path(spark, name)
     schema = df.schema
     if len(_scopes) > outside:
-        _scopes[-1 - outside].append((spark, path))
+        _scopes[-1 - outside].append((spark, path, None))
     writer = df.write.partitionBy(by) if by else df.write
     writer.parquet(path)
     del df, writer
@@ -87,6 +89,18 @@ def staged(df: DataFrame, name: str, by: str | None = None, outside: bool = Fals
     return spark.read.schema(schema).parquet(path)
 
 
+def sorted_run(df: DataFrame, keys: list[str]) -> DataFrame:
+    """df as a table in the shared folder, in buckets by the keys and sorted in each, so that joins on the keys with another run, or with rows
+    that a shuffle dealt by them, don't move it again. Belongs to the innermost scope."""
+    spark = df.sparkSession
+    path, name = fresh_path(spark, "run"), f"marginalia_run_{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append((spark, path, name))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(parts, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def dealt(df: DataFrame, parts: int | None = None) -> DataFrame:
     """Rows dealt evenly over tasks, for work whose time follows the rows rather than the file blocks."""
     return df.repartition(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import pickle
-import shutil
-import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
-from urllib.parse import urlsplit
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,11 +57,11 @@ class OpenTable:
                 self.slots[at] = k
 
 
-def grace(records: Iterable[Record], budget: int, folder: str | None, level: int = 0) -> Iterator[list]:
+def grace(records: Iterable[Record], budget: int, folder: str, level: int = 0) -> Iterator[list]:
     """Groups of equal content, as [digest, text, largest id, rows].
 
     While the table holds at most `budget` bytes all stays in memory. Beyond, what it holds and what
-    still comes is partitioned by the next four bits of the digest to spill files, and each file is
+    still comes is partitioned by the next four bits of the digest to spill files in `folder` (a path or a URI), and each file is
     treated likewise. The files live as long as this call.
     """
     table, records = OpenTable(), iter(records)
@@ -74,10 +72,12 @@ def grace(records: Iterable[Record], budget: int, folder: str | None, level: int
     else:
         yield from table.rows
         return
-    spill = tempfile.mkdtemp(prefix="grace-", dir=folder)
+    store, root = pyarrow.fs.FileSystem.from_uri(folder)
+    spill = f"{root.rstrip('/')}/grace-{uuid.uuid4().hex}"
+    store.create_dir(spill, recursive=True)
     try:
-        paths = [os.path.join(spill, f"{k:x}") for k in range(1 << FANOUT_BITS)]
-        files = [open(p, "wb") for p in paths]  # noqa: SIM115
+        paths = [f"{spill}/{k:x}" for k in range(1 << FANOUT_BITS)]
+        files = [store.open_output_stream(p, buffer_size=1 << 18) for p in paths]
         try:
             def put(record) -> None:
                 byte = record[0][level // 2]
@@ -92,14 +92,14 @@ def grace(records: Iterable[Record], budget: int, folder: str | None, level: int
             for f in files:
                 f.close()
         for p in paths:
-            yield from grace(_unpickled(p), budget, folder, level + 1)
-            os.unlink(p)
+            yield from grace(_unpickled(store, p), budget, folder, level + 1)
+            store.delete_file(p)
     finally:
-        shutil.rmtree(spill, ignore_errors=True)
+        store.delete_dir(spill)
 
 
-def _unpickled(path: str) -> Iterator[Record]:
-    with open(path, "rb") as f:
+def _unpickled(store: pyarrow.fs.FileSystem, path: str) -> Iterator[Record]:
+    with store.open_input_stream(path, buffer_size=1 << 18) as f:
         while True:
             try:
                 yield pickle.load(f)
@@ -118,11 +118,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Copies are first combined within each task, so that a text that a third of all rows share reaches
     its bucket as one record per task and flush. The shuffle on the digest is the first level of the Grace
     partitioning; a bucket over `budget` bytes is partitioned further, to spill files in the shared
-    folder where that is a plain path and else in the worker's scratch space. They belong to one attempt of one task, as
-    Spark's own spills do: a lost executor's task starts anew. Null ids rank below all others.
+    folder, through pyarrow's file systems (paths and the URIs that it knows; an unknown one is an error). They belong to one attempt of one
+    task, as Spark's own spills do: a lost executor's task starts anew. Null ids rank below all others.
     """
-    root = urlsplit(common.shared_dir(docs.sparkSession))
-    folder = root.path if root.scheme in ("", "file") else None
+    folder = common.shared_dir(docs.sparkSession)
+    folder = "file://" + folder.removeprefix("file:") if folder.startswith("file:/") and not folder.startswith("file:///") else folder
     rows = docs.select(F.col(id_col).cast("long").alias("top"), normalised(F.col(text_col)).alias("text"))
     rows = rows.select("top", F.unhex(F.sha2("text", 256)).alias("digest"), F.col("text").cast("binary").alias("text"))
 
@@ -153,7 +153,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             digest, top, n = zip(*out)
             return pa.record_batch([pa.array(digest, pa.binary()), pa.array(top, pa.int64()), pa.array(n, pa.int64())], names=["digest", "keep_id", "group_size"])
 
-        os.makedirs(folder, exist_ok=True) if folder else None
         for digest, _, top, n in grace(records(), budget, folder):
             out.append((digest, top, n))
             if len(out) >= 20000:

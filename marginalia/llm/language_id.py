@@ -99,18 +99,22 @@ def windows(data: bytes) -> np.ndarray:
 
 
 def fit(learnt: DataFrame, per_language: int = 1500, windows_each: int = 4) -> ByteCNN | None:
-    """A network from (text, lang): about `per_language` texts of each language, chosen by their hash, and `windows_each` windows of each.
+    """A network from (text, lang): about `per_language` distinct texts of each language, chosen by their hash, and `windows_each` windows of each.
 
-    These bound what the driver gets. None if there is no labelled text.
+    These bound what the driver gets for a language. None if there is no labelled text.
     """
-    learnt = learnt.where("lang is not null and text is not null").select("text", "lang")
-    total = {r["lang"]: r["n"] for r in learnt.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not total:
-        return None
-    classes = sorted(total)
-    share = F.create_map(*[F.lit(v) for c in classes for v in (c, min(1.0, per_language / total[c]))])
-    sample = learnt.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
-
+    learnt = learnt.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"), F.xxhash64(F.lit("text"), "text").alias("h2"))
+    with common.scope():
+        distinct = common.staged(learnt.groupBy("lang", "h", "h2").agg(F.lit(1).alias("one")).drop("one"), "learnt")
+        # a text that repeats counts once, so that what the driver gets is bounded whatever repeats
+        cut = (F.least(F.lit(1.0), per_language / F.count("*")) * (1 << 30)).alias("cut")
+        shares = distinct.groupBy("lang").agg(cut)
+        chosen = distinct.join(shares, "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("cut")).select("lang", "h", "h2")
+        sample = learnt.join(chosen, ["lang", "h", "h2"]).dropDuplicates(["lang", "h", "h2"]).select("text", "lang")
+        return _trained(sample, windows_each)
+
+
+def _trained(sample: DataFrame, windows_each: int) -> ByteCNN | None:
     def picked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             lang, out = [], []

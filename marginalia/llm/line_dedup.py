@@ -31,12 +31,12 @@ def _hash_input(line: Column) -> Column:
 
 
 class LineRuns:
-    """Sorted runs of (key, documents), in levels, as tables in the shared folder.
+    """Sorted runs of (key, documents), in levels, as tables in the shared folder that lie in buckets by key.
 
-    A batch joins against the runs and becomes a run of level 0. When a level holds `fanout` runs,
-    they are merged into one run of the next level, so there are at most `fanout` runs a level and a
-    key is rewritten once a level. Keys that reach `limit` documents move to the settled run: later
-    batches drop them by an anti-join, so a line that is everywhere costs one row a batch no more.
+    Each new batch is merge-anti-joined with the settled runs, whose keys have been found in `limit` documents already. What is left
+    is merge-joined with the open runs for the documents counted so far and becomes a run of its own: keys that reach the limit with it
+    are settled, the others are open. When a level holds `fanout` runs, they are compacted into one run of the next level, without the keys
+    settled meanwhile, so a key is rewritten once a level. Runs are never shuffled again.
     """
 
     def __init__(self, spark: SparkSession, limit: int, fanout: int = 3) -> None:
@@ -44,45 +44,54 @@ class LineRuns:
         self.levels: list[list[DataFrame]] = []
         self.settled: list[DataFrame] = []
 
-    def _sorted_run(self, counts: DataFrame, name: str) -> DataFrame:
-        return common.staged(counts.sortWithinPartitions(*KEY), name)
-
-    def _union(self, runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, runs)
+    def _unsettled(self, counts: DataFrame) -> DataFrame:
+        for run in self.settled:
+            counts = counts.join(run.hint("merge"), KEY, "left_anti")
+        return counts
 
     def unseen(self, batch: DataFrame) -> DataFrame:
         """The batch's keys that no run holds."""
-        for run in [*self.settled, *(r for level in self.levels for r in level)]:
-            batch = batch.join(run.select(*KEY), KEY, "left_anti")
+        batch = self._unsettled(batch)
+        for run in (r for level in self.levels for r in level):
+            batch = batch.join(run.select(*KEY).hint("merge"), KEY, "left_anti")
         return batch
 
     def add(self, counts: DataFrame) -> None:
         """Adds a batch: (k1, k2, n), one row a key."""
-        for run in self.settled:
-            counts = counts.join(run.select(*KEY), KEY, "left_anti")
-        self._put(0, self._sorted_run(counts, "run-0"))
+        left = self._unsettled(counts).withColumn("total", F.col("n"))
+        for run in (r for level in self.levels for r in level):
+            before = run.withColumnRenamed("n", "before").hint("merge")
+            left = left.join(before, KEY, "left").select(*KEY, "n", (F.col("total") + F.coalesce("before", F.lit(0))).alias("total"))
+        made = common.sorted_run(left, KEY)
+        self.settled.append(made.where(F.col("total") >= self.limit).select(*KEY))
+        self._put(0, made.where(F.col("total") < self.limit).select(*KEY, "n"))
 
     def _put(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
-            self._compact(level)
-
-    def _compact(self, level: int) -> None:
-        merged = self._union(self.levels[level]).groupBy(*KEY).agg(F.sum("n").alias("n"))
-        merged = self._sorted_run(merged, f"run-{level + 1}")
-        self.levels[level] = []
-        self.settled.append(merged.where(F.col("n") >= self.limit))
-        self._put(level + 1, merged.where(F.col("n") < self.limit))
+            merged = reduce(DataFrame.unionByName, self.levels[level]).groupBy(*KEY).agg(F.sum("n").alias("n"))
+            merged = common.sorted_run(self._unsettled(merged), KEY)
+            self.levels[level] = []
+            if len(self.settled) >= self.fanout:
+                self.settled = [common.sorted_run(self.frequent(), KEY)]
+            self._put(level + 1, merged)
 
     def frequent(self) -> DataFrame:
         """The keys found in at least `limit` documents over all batches."""
-        open_runs = [r for level in self.levels for r in level]
-        found = list(self.settled)
-        if open_runs:
-            found.append(self._union(open_runs).groupBy(*KEY).agg(F.sum("n").alias("n")).where(F.col("n") >= self.limit))
-        return self._union([f.select(*KEY) for f in found])
+        return reduce(DataFrame.unionByName, self.settled)
+
+
+@common.tidy
+def frequent_positions(rows: DataFrame, doc: list[str], min_docs: int, batches: int, fanout: int) -> DataFrame:
+    """(*doc, bad): of each document the positions of lines that at least `min_docs` documents have; rows: (*doc, k1, k2, at)."""
+    rows = common.staged(rows.withColumn("batch", F.pmod(F.xxhash64(*doc), F.lit(batches)).cast("int")), "lines", by="batch")
+    runs = LineRuns(rows.sparkSession, min_docs, fanout)
+    for b in range(batches):
+        runs.add(rows.where(F.col("batch") == b).groupBy(*KEY).agg(F.count("*").alias("n")))
+    frequent = common.staged(runs.frequent(), "frequent")
+    return rows.join(frequent, KEY, "left_semi").groupBy(*doc).agg(F.flatten(F.collect_list("at")).alias("bad"))
 
 
 def drop_frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 3) -> DataFrame:
@@ -94,25 +103,17 @@ def drop_frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     or repeated id are treated by their own text. An empty table gives no rows. Columns of docs whose names clash with the
     added ones are replaced.
 
-    The documents come in `batches` batches, by the hash of their text; one pass splits them all into keys and positions, and
-    LineRuns takes the batches in turn.
+    The documents come in `batches` batches, which LineRuns takes in turn; a pass splits them all into keys and positions before.
     Lines are told apart by 128 bits. Only keys and positions are shuffled, and texts once, by id.
     """
-    spark = docs.sparkSession
     lines = F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n", -1)
     own = [F.col(id_col).alias("__m_id"), F.xxhash64(text_col).alias("__m_h1"), F.xxhash64(F.lit("text"), text_col).alias("__m_h2")]
     doc = ["__m_id", "__m_h1", "__m_h2"]
     rows = docs.select(*own, F.posexplode(lines).alias("pos", "line"))
     rows = rows.where(F.length(F.trim("line", F.lit(WHITE))) >= min_chars).withColumn("x", _hash_input(F.col("line")))
     rows = rows.select(*doc, "pos", F.xxhash64("x").alias("k1"), F.xxhash64(F.lit("line"), "x").alias("k2"))
-    rows = rows.groupBy(*doc, *KEY).agg(F.collect_set("pos").alias("at")).withColumn("batch", F.pmod("__m_h1", F.lit(batches)).cast("int"))
-    rows = common.staged(rows, "lines")
-    counted = common.staged(rows.groupBy("batch", *KEY).agg(F.count("*").alias("n")), "line-counts")
-
-    runs = LineRuns(spark, min_docs, fanout)
-    for b in range(batches):
-        runs.add(counted.where(F.col("batch") == b).select(*KEY, "n"))
-    bad = rows.join(runs.frequent(), KEY, "left_semi").groupBy(*doc).agg(F.flatten(F.collect_list("at")).alias("__m_bad"))
+    rows = rows.groupBy(*doc, *KEY).agg(F.collect_set("pos").alias("at"))
+    bad = frequent_positions(rows, doc, min_docs, batches, fanout).withColumnRenamed("bad", "__m_bad")
     bad = bad.withColumnsRenamed({"__m_id": "__m_bid", "__m_h1": "__m_b1", "__m_h2": "__m_b2"})
     added = {"n_lines", "n_dropped", text_col}
     base = docs.select("*", *own)

@@ -65,12 +65,13 @@ LINE_KEY = r"translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) ||
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_line_dedup": f"""
-            WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
-            keyed AS (SELECT *, {LINE_KEY} AS k FROM lines),
-            bad AS (SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
-            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (k IN (SELECT k FROM bad)) AS n_dropped,
+            WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+            lines AS (SELECT r, doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM d),
+            keyed AS (SELECT r, doc_id, {{'d': doc_id, 't': sha256(text)}} AS document, l, pos, {LINE_KEY} AS k FROM lines),
+            bad AS (SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT document) >= 10)
+            SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (k IN (SELECT k FROM bad)) AS n_dropped,
                    sha256(coalesce(string_agg(l, chr(10) ORDER BY pos) FILTER (k NOT IN (SELECT k FROM bad)), '')) AS kept_sha256
-            FROM keyed GROUP BY doc_id""",
+            FROM keyed GROUP BY r""",
         "op8_exact_dedup": """
             WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
             g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)

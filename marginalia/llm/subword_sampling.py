@@ -183,7 +183,8 @@ def sampled_segmentations(rows: DataFrame, key_cols: list[str], text_col: str =
 
     Segmentations of a row are distinct; a text with fewer than `k` gives all it has, and a null or empty text gives one, of no
     pieces. Draws are seeded by crc32 of the row's key columns and `seed`, so they don't depend on the partitioning,
-    and rows that repeat a key draw alike. round_trip says that the ids decode to the text. Whole texts are
+    and rows that repeat a key draw alike. round_trip says that the ids decode to the
+    very text; a text that holds SPACE itself does not come back, as the model reads that as a blank. Whole texts are
     segmented; memory follows one text. Columns of rows that have an added name are replaced.
     """
     path = path or model_path()
@@ -203,7 +204,7 @@ def sampled_segmentations(rows: DataFrame, key_cols: list[str], text_col: str =
                     found, threshold = sample(of.arcs(of.prepared(text)), k, zlib.crc32(str(seed).encode(), key))
                     for j, (perturbed, log_prob, ids) in enumerate(found, 1):
                         row.append(r)
-                        for c, v in zip(added, (j, ids, log_prob, perturbed, inclusion(log_prob, threshold), of.decode(ids) == text.replace(SPACE, " "))):
+                        for c, v in zip(added, (j, ids, log_prob, perturbed, inclusion(log_prob, threshold), of.decode(ids) == text)):
                             out[c].append(v)
                 kinds = (pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.float64(), pa.bool_())
                 yield pa.record_batch([batch.column(0).take(pa.array(row, pa.int64())), *(pa.array(out[c], t) for c, t in zip(added, kinds))], names=["rest", *added])

@@ -274,12 +274,11 @@ def test_packing(odd_docs, odd_rows, no_docs):
 
 
 def brute_top(rows, k):
-    units = {i: np.floor(1024 * np.array(v, float)).astype(int) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    units = [(i, [math.floor(1024 * float(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = {}
-    for q, x in units.items():
-        if q % 10 == 0:
-            s = sorted((-int(sum(a * b for a, b in zip(x.tolist(), y.tolist()))), i) for i, y in units.items() if i != q)
-            out.update({(q, r): (i, -v) for r, (v, i) in enumerate(s[:k], 1)})
+    for q in {i for i, _ in units if i % 10 == 0}:
+        s = sorted((-sum(a * b for a, b in zip(x, y)), i) for j, x in units if j == q for i, y in units if i != q)
+        out.update({(q, r): (i, -v) for r, (v, i) in enumerate(s[:k], 1)})
     return out
 
 
@@ -288,17 +287,27 @@ def test_top_k(spark, block, chunk):
     r = random.Random(7)
     rows = [(k, [r.choice([-1.0, 0.0, 0.5, r.uniform(-1, 1)]) for _ in range(6)]) for k in range(150)]
     rows += [(200 + k, rows[3][1]) for k in range(25)] + [(300, None), (301, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (302, [float("nan")] * 6), (310, [float("inf")] * 6), (320, [0.0] * 6), (None, [1.0] * 6)]
+    rows += [(20, rows[21][1]), (20, rows[3][1])] + [(7, rows[3][1])] * 15 + [(150, rows[3][1])] * 15 + [(151, [1.0, -1.0])]  # repeated ids, an uneven length
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"score": F.lit(1), "block": F.lit(2), "chunk": F.lit(3), "rank": F.lit(4)})
     got = {(x.query_id, x.rank): (x.vec_id, x.score) for x in threshold_search.top_k(df, F.col("vec_id") % 10 == 0, 10, block=block, chunk=chunk).collect()}
     floats = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     assert got == brute_top(floats, 10)
 
 
+def test_top_k_large_components(spark):
+    """Products beyond 53 and beyond 64 bits: ranked exactly, shown as the nearest long."""
+    rows = [(0, [100000.0, 0.0]), (1, [100000.0, 1.0]), (2, [70000.0, 0.0]), (3, [-100000.0, 5.0]), (10, [1e30, 0.0]), (4, [1e30, 0.0]), (5, [2e30, 0.0]), (6, [-1e30, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(x.query_id, x.rank): (x.vec_id, x.score) for x in threshold_search.top_k(df, F.col("vec_id") % 10 == 0).collect()}
+    clipped = {q: (i, max(-(2**63), min(2**63 - 1, s))) for q, (i, s) in brute_top(rows, 10).items()}
+    assert got == clipped and got[10, 1][0] == 5 and 10485760000000000 in {s for _, s in got.values()}
+
+
 def test_top_k_stops_early():
-    v = np.zeros((4000, 8), np.int32)
+    v = np.zeros((4000, 8))
     v[:, 0] = np.arange(4000)
     lists = threshold_search.Lists(np.arange(4000), v, 10)
-    assert [i for _, i in lists.top(np.array([1, 0, 0, 0, 0, 0, 0, 0]), -1, 10)] == list(range(3999, 3989, -1)) and lists.read < 100
+    assert [i for _, i in lists.top(np.array([1.0, 0, 0, 0, 0, 0, 0, 0]), -1, 10)] == list(range(3999, 3989, -1)) and lists.read < 100
 
 
 def test_top_k_small(spark):
@@ -319,6 +328,7 @@ def test_top_k_small(spark):
         ("<script>var a='</p><p>';</script><style>p{}</style><p>x</p><!-- <p>no</p> --><form><p>f</p></form><aside>a</aside>", ["x"]),
         ("<ul><li>1<li>2<ul><li>3</ul></ul><table><tr><td>a<td>b<tr><td>c</table>", ["1", "2", "3", "a b", "c"]),
         ("<div class=ad>no</div><div class='headline'>yes</div><p hidden>no<p style='display: none'>no</p>< 3", ["yes", "< 3"]),
+        ("<article><section class='related-work'><p>a</p></section><p class='notice-of-motion'>b</p><div class='header-note'>c</div><div class='ad-slot-3 x'>no</div><div class='related'>no</div></article>", ["a", "b", "c"]),
         ("plain text", ["plain text"]),
         ("<p>unclosed <a href='x", ["unclosed"]),
         ("", []),
@@ -353,6 +363,82 @@ def test_style_tree_finds_noise_without_names(spark):
     assert out[3].n_chars == len(out[3].text) and out[3].host == "h"
 
 
+def strips_page(r, k):
+    """Strips that hold new words on every page, in elements that say nothing about themselves."""
+    return f"<html><body><div class='q1'><ul><li>{sentence(r, 1)}</li><li>{sentence(r, 1)}</li></ul></div><div class='q2'>{sentence(r, 6)}</div><div class='q3'><h1>{sentence(r, 5)}</h1>" + "".join(f"<p>{sentence(r, r.randint(5, 60))}</p>" for _ in range(r.randint(2, 5))) + f"</div><div class='q4'>by {sentence(r, 4)}</div></body></html>"
+
+
+def test_the_tree_alone_removes_strips_with_new_words(spark):
+    r = random.Random(3)
+    rows = [(k, f"https://one.org/{k}", strips_page(r, k)) for k in range(20)]
+    out = site_style.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), names=False).collect()
+    for x in out:
+        q3 = re.search(r"<div class='q3'>(.*?)</div>", x.html).group(1)
+        assert x.text.split("\n\n") == re.findall(r"<(?:h1|p)>(.*?)</", q3)
+
+
+def brute_importance(pages):
+    """Importance by path, from whole trees in memory; text entropies over pages by their definition."""
+    seen, styles, texts, info = {}, {}, {}, {}
+    for k, page in enumerate(pages):
+        work = [(site_style.parse(page), "")]
+        while work:
+            node, parent = work.pop()
+            if node.empty:
+                continue
+            inner = [x for x in node.items if not isinstance(x, str)]
+            seen.setdefault(node.path, set()).add(k)
+            info[node.path] = (parent, node.tag, node.main)
+            styles.setdefault(node.path, Counter())[k, ">".join(dict.fromkeys(x.style for x in inner))] = 1
+            for t in (" ".join(x.split()) for x in node.items if isinstance(x, str) and x.strip()):
+                texts.setdefault(node.path, {}).setdefault(t, Counter())[k] += 1
+            work += [(x, node.path) for x in inner]
+    seen = {p: ks for p, ks in seen.items() if len(ks) >= site_style.MIN_PAGES}
+    entropy = lambda counts, base: -sum(c / sum(counts) * math.log(c / sum(counts), base) for c in counts)
+    mass, news = {}, {}
+
+    def add(p, top):
+        words = sum(len(t.split()) * sum(c.values()) for t, c in texts.get(p, {}).items())
+        fresh = words - sum(len(t.split()) * sum(c.values()) * entropy(list(c.values()), len(seen[p])) for t, c in texts.get(p, {}).items())
+        for q in seen:
+            if q != p and info[q][0] == p and q:
+                a, b = add(q, top)
+                words, fresh = words + a, fresh + b
+        mass[p], news[p] = words, max(0, fresh)
+        return words, fresh
+
+    for p in seen:
+        add(p, p)
+    out = {}
+    for p in seen:
+        parent, tag, main = info[p]
+        content = min(1, news[p] / mass[p]) if mass[p] else 0
+        value = content
+        if tag in site_style.PARTS and not main:
+            kinds = Counter(x for _, x in styles[p])
+            best = max(news[q] for q in seen if q and info[q][0] == parent)
+            share = min(1, news[p] / max(best, 1e-9) / site_style.SHARE)
+            value = content * (1 - (1 - share) * (1 - min(1, entropy(list(kinds.values()), len(seen[p])))))
+        out[p] = value
+    return out
+
+
+def test_importance_equals_brute_force(spark):
+    r = random.Random(4)
+    pages = [strips_page(r, k) for k in range(9)] + ["<body><div class='q2'>same words</div><article><div>x</div></article></body>" + "<!-- %d -->" % k for k in range(5)]
+    rows = [(k, "https://one.org/", p) for k, p in enumerate(pages)] + [(99, "https://two.org/", pages[0])]
+    tree = site_style.style_tree(spark.createDataFrame(rows, "page_id long, url string, html string"), "url", "html").collect()
+    want = brute_importance(pages)
+    assert {x.host for x in tree} == {"one.org"} and {x.path: x.importance for x in tree} == pytest.approx(want, abs=1e-9)
+
+
+def test_deep_pages_have_a_tree(spark):
+    page = lambda k: "<body>" + "<div>" * 400 + f"<p>article number {k} at the bottom</p>" + "</div>" * 400 + "</body>"
+    rows = [(k, "https://one.org/", page(k)) for k in range(6)] + [(0, "https://one.org/", page(0))]
+    out = site_style.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert Counter((x.page_id, x.text) for x in out) == Counter((k, f"article number {k} at the bottom") for k, *_ in rows)
+
+
 def test_copies_of_one_page_keep_their_text(spark):
     rows = [(k, "https://one.org/a", "<body><div><p>the very same text</p></div></body>") for k in range(20)]
     out = site_style.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
@@ -415,6 +501,12 @@ def test_inclusion_weights_are_unbiased(of):
     assert abs(total / n - 1) < 0.05
 
 
+def test_a_lossy_round_trip_is_told(spark):
+    df = spark.createDataFrame([(1, "a\u2581b"), (2, "a b")], "doc_id long, text string")
+    out = subword_sampling.sampled_segmentations(df, ["doc_id"], k=2).collect()
+    assert {(r.doc_id, r.round_trip) for r in out} == {(1, False), (2, True)}
+
+
 def test_sampling_odd(odd_docs, odd_rows, no_docs):
     small = odd_docs.where("text is null or length(text) < 5000")
     a = subword_sampling.sampled_segmentations(small, ["doc_id", "source"], k=2)
