@@ -52,7 +52,7 @@ def anchors(words: np.ndarray, firsts: np.ndarray, length: int) -> tuple[np.ndar
     return best[at[new]], text[at[new]], at[new], np.diff(np.append(new, len(at)))
 
 
-def _batches(rows: Iterator[pa.RecordBatch], most: int = 1 << 22) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def _batches(rows: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Parts of batches with about `most` bytes of text; the text is column 1."""
     for batch in rows:
         text = [(t or "").encode() for t in batch.column(1).to_pylist()]

@@ -17,7 +17,8 @@ from marginalia.llm.common import point_hashes
 #: Fixed values of the vocabulary's split pattern: what may follow an apostrophe in one piece, and white space.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 WHITE = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
-_MAX_KNOWN = 600_000
+_MAX_KNOWN = 120_000
+_AT_ONCE = 1 << 14
 
 
 @functools.cache
@@ -83,7 +84,7 @@ class BatchTokenizer:
     """Ids of texts by a file of the `tokenizers` library (byte-level BPE), without the tokens that it would add around a text.
 
     The library makes all ids. It is asked for each distinct piece of the split pattern once, as a piece alone gives the ids that it has
-    in a text; at most _MAX_KNOWN are remembered. The file's added tokens are found in texts as the library finds them: a text
+    in a text. The pieces of late are remembered: _MAX_KNOWN, and as many that came before and were used since. The file's added tokens are found in texts as the library finds them: a text
     is split at them first.
     """
 
@@ -99,19 +100,36 @@ class BatchTokenizer:
             self.added[token.content] = np.array([number], np.uint32)
         self.split = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces. Joined by an added token, which no piece holds and which parts what is around it, they are one call to the library."""
+        out = []
+        for at in range(0, len(pieces), _AT_ONCE):
+            some = pieces[at : at + _AT_ONCE]
+            if not self.added:
+                out += [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                continue
+            token, number = next(iter(self.added.items()))
+            ids = np.array(self.tokenizer.encode_batch_fast([token.join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            raw, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == number)).tolist()
+            out += [raw[a:z] for a, z in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
+        return out
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        known = self.known
-        try:
-            return [known[p] for p in pieces]
-        except KeyError:
-            new = [p for p in pieces if p not in known]
-        if len(known) + len(new) > _MAX_KNOWN:
-            known = self.known = {}
-            new = pieces
-        new = list(dict.fromkeys(new))
-        for p, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[p] = array("I", found.ids).tobytes()
+        if len(self.known) > _MAX_KNOWN:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        new = [p for p in pieces if p not in known]
+        if new:
+            asked = []
+            for p in new:
+                if found := before.get(p):
+                    known[p] = found
+                else:
+                    asked.append(p)
+            asked = list(dict.fromkeys(asked))
+            known.update(zip(asked, self._encoded(asked)))
         return [known[p] for p in pieces]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -149,7 +167,7 @@ def batch_tokenizer(path: str) -> BatchTokenizer:
     return BatchTokenizer(path)
 
 
-def in_groups(texts: list[str], most: int = 1 << 22):
+def in_groups(texts: list[str], most: int = 1 << 20):
     """(from, to) of consecutive texts with about `most` characters together."""
     at, size = 0, 0
     for k, t in enumerate(texts):
