@@ -17,7 +17,7 @@ from marginalia.llm.common import point_hashes
 #: Fixed values of the vocabulary's split pattern: what may follow an apostrophe in one piece, and white space.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 WHITE = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
-_MAX_KNOWN = 120_000
+_MAX_KNOWN = 80_000
 _AT_ONCE = 1 << 14
 
 

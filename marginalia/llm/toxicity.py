@@ -7,6 +7,7 @@ and every example in the index.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ from marginalia.llm.common import byte_hashes
 
 BLOCK = 64
 SMOOTH = 5.0
-_CHARS = 1 << 21
+_CHARS = 1 << 20
 
 
 def term_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -296,9 +297,9 @@ def score(docs: DataFrame, index: Index, evidence: int = 3, keep_text: bool = Tr
             text, term, count = _bags(texts, index.terms)
             cuts = np.flatnonzero(np.diff(text, prepend=-1))
             for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(text)]):
-                key = term[a:z].tobytes() + count[a:z].tobytes()
+                key = hashlib.blake2b(term[a:z].tobytes() + count[a:z].tobytes(), digest_size=16).digest()
                 if key not in known:
-                    if len(known) > 20000:
+                    if len(known) > 5000:
                         known.clear()
                     row, cosine = index.nearest(term[a:z], index.vector(term[a:z], count[a:z]))
                     shown = [{"doc_id": int(index.ids[r]), "cosine": float(c), "toxic": int(index.labels[r])} for r, c in zip(row[:evidence], cosine)]
