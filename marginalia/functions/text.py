@@ -17,7 +17,7 @@ from pyspark.sql.types import StringType
 # Accented letters and what they fold to.
 ACCENTED = "àáâäãéèêëíìîïóòôöõúùûüñçß"
 FOLDED = "aaaaaeeeeiiiiooooouuuunc"
-# Words that are no keywords, titles that many works share, and keywords that say nothing.
+# Words that are no keywords, titles that many works share, and keywords that say nothing. They are sets: their order says nothing.
 STOPWORDS = ("a", "about", "against", "an", "and", "as", "at", "between", "by", "during", "for", "from", "in", "into", "of", "on", "or", "over", "the", "to", "under", "via", "with", "without")
 GENERIC_TITLES = ("addendum", "announcement", "corrigendum", "editorial", "erratum", "publisher s note")
 GENERIC_KEYWORDS = ("approach", "article", "method", "paper", "research", "study")
@@ -359,6 +359,24 @@ def forum_id(x: Text, host_name: str | None = None) -> Column:
     return found if host_name is None else F.when(F.endswith(host(x), F.lit(host_name)), found).otherwise("")
 
 
+def openalex_id(x: Text) -> Column:
+    """The OpenAlex work id of a url or of the id itself; empty if there is none."""
+    return F.upper(F.regexp_extract(F.trim(col(x)), r"(?i)(?:^|openalex\.org/(?:works/)?)(W\d+)/?$", 1))
+
+
+def wikidata_id(x: Text) -> Column:
+    """The entity id of a wikidata.org url; empty for other urls."""
+    path = F.regexp_extract(F.trim(col(x)), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+([^?#]*)", 1)
+    entity = F.upper(F.regexp_extract(path, r"/([Qq]\d+)/*$", 1))
+    return F.when(host(x).isin("wikidata.org", "www.wikidata.org"), entity).otherwise("")
+
+
+def wikidata_doi(payload: Text, entity: Text) -> Column:
+    """The first DOI claim (P356) of an entity's JSON; empty if it has none."""
+    found = F.from_json(F.get_json_object(col(payload), "$.entities"), "map<string,struct<claims:struct<P356:array<struct<mainsnak:struct<datavalue:struct<value:string>>>>>>>")
+    return F.coalesce(doi(F.get(F.element_at(found, col(entity))["claims"]["P356"], F.lit(0))["mainsnak"]["datavalue"]["value"]), F.lit(""))
+
+
 def identifiers(*columns: tuple[str, Column]) -> Column:
     """Distinct `scheme:value` of the identifiers that are there, in the order given."""
     return F.array_distinct(F.array_compact(F.array(*[F.when(present(c), F.concat(F.lit(s + ":"), c)) for s, c in columns])))

@@ -13,9 +13,21 @@ def multiplicity(rows: DataFrame, keys: list[str], least: int = 2) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
+def long_multiplicity(rows: DataFrame, keys: list[str], text: str, least: int = 2) -> DataFrame:
+    """multiplicity on `keys` and a long text: rows are counted by the text's two hashes, and only texts that repeat are moved once more."""
+    hashed = rows.withColumns({"_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(text), text)})
+    counted = hashed.groupBy(*keys, "_h1", "_h2").agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
+    same = hashed["_h1"] == counted["_h1"]
+    for k in ["_h2", *keys]:
+        same = same & hashed[k].eqNullSafe(counted[k])
+    return hashed.join(counted, same, "left_semi").groupBy(*keys, text).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+
+
 def global_collisions(rows: DataFrame, key: str, container: str, signature: list[str]) -> DataFrame:
     """Keys in several containers under several signatures: key, containers, signatures, list (sorted, joined)."""
-    out = rows.groupBy(key).agg(F.countDistinct(container).alias("containers"), F.countDistinct(F.struct(*signature)).alias("signatures"), F.array_join(F.array_sort(F.collect_set(F.col(container).cast("string"))), ", ").alias("container_list"))
+    distinct = rows.select(key, container, F.struct(*signature).alias("_s")).where(F.col(container).isNotNull()).distinct()
+    one = distinct.groupBy(key, container).agg(F.collect_set("_s").alias("_s"))
+    out = one.groupBy(key).agg(F.count("*").alias("containers"), F.size(F.array_distinct(F.flatten(F.collect_list("_s")))).cast("long").alias("signatures"), F.array_join(F.array_sort(F.collect_list(F.col(container).cast("string"))), ", ").alias("container_list"))
     return out.where("containers > 1 and signatures > 1")
 
 

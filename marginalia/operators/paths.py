@@ -69,3 +69,14 @@ def workers(threads: int) -> dict[str, int]:
     """How many documents of each tier to read at once."""
     article = 1 if threads <= 2 else max(2, min(8, threads // 2))
     return {"article": article, "medium": max(1, min(4, article // 2)), "long": max(1, min(2, threads // 12)), "huge": 1}
+
+
+def tier_plan(threads: int, wanted: dict[str, int] | None = None, seconds: dict[str, float] | None = None) -> dict[str, tuple[int, float]]:
+    """Workers and time limit of each tier: wanted workers above 0 count, else the automatic ones; a longer tier never has a shorter limit."""
+    auto, wanted = workers(threads), wanted or {}
+    seconds = {"article": 1200.0, "medium": 1200.0, "long": 3600.0, "huge": 7200.0} | (seconds or {})
+    out, least = {}, 1.0
+    for tier in ("article", "medium", "long", "huge"):
+        least = max(least, float(seconds[tier]))
+        out[tier] = (wanted[tier] if wanted.get(tier, 0) > 0 else auto[tier], least)
+    return out | {"unknown": out["medium"]}

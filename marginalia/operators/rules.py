@@ -33,7 +33,7 @@ REQUIRED = {
     },
 }
 # Texts of failures that may pass by themselves, and of those that won't.
-TRANSIENT = ("http 408", "http 425", "http 429", "http 500", "http 502", "http 503", "http 504", "timed out", "timeout", "temporar", "connection", "chunkedencodingerror", "contentdecodingerror", "name or service not known")
+TRANSIENT = ("http 408", "http 425", "http 429", "http 500", "http 502", "http 503", "http 504", "timed out", "timeout", "temporar", "connection", "chunkedencodingerror", "contentdecodingerror", "name or service not known", "temporary failure in name resolution", "connection reset", "connection aborted", "broken pipe", "ssl")
 PERMANENT = ("http 4", "unexpected content-type", "invalid pdf", "no candidate url")
 
 
@@ -73,6 +73,36 @@ def strict_key_findings(key: Column, expected: Column) -> Column:
     return F.when(~T.filled(key), F.array(F.lit("missing key"))).otherwise(checks)
 
 
+def lint_key_findings(key: Column, year: Column) -> Column:
+    """What is wrong with a key by the linter's rules: case, separators, shape, and the entry's year inside."""
+    checks = found(
+        (key != F.lower(key), "entry key must be lowercase"),
+        (key.rlike(r"[-_.]"), "entry key must not contain '-', '_' or '.'"),
+        (~T.canonical_key(key), "entry key must follow <author><year><keyword> shape"),
+        (F.coalesce(year, F.lit("")).rlike(r"^(19|20)\d{2}$") & ~F.contains(key, F.coalesce(year, F.lit(""))), "entry key does not include entry year"),
+    )
+    return F.when(F.coalesce(key, F.lit("")) == "", F.array(F.lit("entry key is missing"))).otherwise(checks)
+
+
+def pdf_link(url: Column) -> Column:
+    """The linter's test of a PDF link: narrower than text.pdf_like."""
+    u = F.lower(F.coalesce(url, F.lit("")))
+    return F.endswith(u, F.lit(".pdf")) | u.contains("/pdf?") | u.contains("arxiv.org/pdf/")
+
+
+def openalex_problem(value: Column) -> Column:
+    """Why an entry has no usable OpenAlex id: null if it has one."""
+    v = F.trim(F.coalesce(value, F.lit("")))
+    return F.when(v == "", "missing").when(~v.rlike(r"^W\d+$"), "invalid")
+
+
+def abstract_problem(abstract: Column, kind: Column, least: int = 50, most: int = 1000) -> Column:
+    """What is wrong with an abstract, as severity:problem; null if nothing. Books and misc entries may lack one."""
+    n = T.word_count(abstract)
+    may = F.lower(F.coalesce(kind, F.lit(""))).isin("book", "misc")
+    return F.when((n == 0) & may, "warning:missing").when(n == 0, "failed:missing").when(n < least, "warning:short").when(n > most, "warning:long")
+
+
 def issue(severity: str, code: str, message: Column | str) -> Column:
     return F.struct(F.lit(severity).alias("severity"), F.lit(code).alias("issue_type"), (F.lit(message) if isinstance(message, str) else message).alias("message"))
 
@@ -95,7 +125,7 @@ def lint(entries: DataFrame, profile: str = "strict", oral: str = "") -> DataFra
     for name in ("url", "pdf", "arxiv"):
         checks.append(((f[name] != "") & ~f[name].rlike("(?i)^https?://"), issue("error", "invalid_url_scheme", F.concat(F.lit(f"{name} must be HTTP(S): "), f[name]))))
     checks += [
-        ((f["pdf"] != "") & ~T.pdf_like(f["pdf"]), issue("warning", "pdf_field_suspicious", F.concat(F.lit("pdf field does not look like a PDF URL: "), f["pdf"]))),
+        ((f["pdf"] != "") & ~pdf_link(f["pdf"]), issue("warning", "pdf_field_suspicious", F.concat(F.lit("pdf field does not look like a PDF URL: "), f["pdf"]))),
         ((f["arxiv"] != "") & ~F.lower(f["arxiv"]).contains("arxiv.org/abs/"), issue("warning", "arxiv_field_suspicious", F.concat(F.lit("arxiv field should point to arxiv.org/abs: "), f["arxiv"]))),
     ]
     if oral:
@@ -111,7 +141,7 @@ def lint(entries: DataFrame, profile: str = "strict", oral: str = "") -> DataFra
             (talk & ((of_url == "") != (of_pdf == "")), issue("warning", "oral_mixed_openreview_links", "url/pdf fields mix OpenReview and non-OpenReview links")),
             (talk & (of_url != "") & (of_pdf != "") & (of_url != of_pdf), issue("error", "oral_openreview_id_mismatch", F.concat(F.lit("url id ("), of_url, F.lit(") and pdf id ("), of_pdf, F.lit(") differ")))),
         ]
-    keys = F.transform(strict_key_findings(F.trim("entry_key"), f["year"]), lambda m: issue("warning", "key_format", m))
+    keys = F.transform(lint_key_findings(F.trim("entry_key"), f["year"]), lambda m: issue("warning", "key_format", m))
     every = F.concat(found(*checks), keys)
     return entries.select("file_path", "entry_idx", "entry_key", F.posexplode(every).alias("rule", "i")).select("file_path", "entry_idx", "entry_key", "rule", "i.*")
 
@@ -215,11 +245,11 @@ def resumable(same: Column, state: Column, files_exist: Column, permanent: Colum
 
 
 def note_audit(notes: Column, ledger: Column, log: Column) -> Column:
-    """What a bundle of reading notes lacks: gates, labels, anchored bullets, anchors, own words for each chunk."""
+    """What a bundle of reading notes lacks: gates, labels, anchored bullets, anchors, a summary of each chunk."""
     bullets = F.size(F.regexp_extract_all(ledger, F.lit(r"(?m)^- Anchor:"), F.lit(0)))
     anchors = F.size(F.regexp_extract_all(ledger, F.lit(r"(?i)anchor"), F.lit(0)))
     labels = F.size(F.regexp_extract_all(F.get_json_object(notes, "$.coordinates"), F.lit(r'"[^"]+"\s*:'), F.lit(0)))
-    done = F.from_json(log, "completed boolean, chunks_completed int, chunks_total int")
+    done = F.from_json(log, "completed boolean, chunks_completed int, chunks_total int, chunks array<struct<id string, summary string>>")
     return found(
         (F.coalesce(F.get_json_object(notes, "$.tex_source_gate"), F.lit("")).isin("", "false"), "tex_source_gate"),
         (F.coalesce(F.get_json_object(notes, "$.readthrough_complete"), F.lit("")).isin("", "false"), "readthrough_complete"),
@@ -227,4 +257,5 @@ def note_audit(notes: Column, ledger: Column, log: Column) -> Column:
         (F.coalesce(bullets, F.lit(0)) < 12, "anchored_bullets"),
         (F.coalesce(anchors, F.lit(0)) < 10, "anchors"),
         (~F.coalesce(done["completed"] & (done["chunks_completed"] == done["chunks_total"]), F.lit(False)), "readthrough_log"),
+        (F.coalesce(F.exists(done["chunks"], lambda c: ~T.filled(c["summary"])), F.lit(False)), "chunk_summary"),
     )

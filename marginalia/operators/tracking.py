@@ -90,14 +90,20 @@ def sortedness(rows: DataFrame, group: str, order: str, value: str) -> DataFrame
     return rows.withColumn("_b", before).groupBy(group).agg(F.count("*").alias("n"), F.count_if(F.col("_b") < F.col(value)).alias("inversions"))
 
 
-def batches(rows: DataFrame, order: list[str], size: int, name: str = "batch", bucket: int = 1 << 14) -> DataFrame:
+def batches(rows: DataFrame, order: list[str], size: int, name: str = "batch") -> DataFrame:
     """Adds batch: consecutive numbers of `size` rows each, in the given (unique) order.
 
-    Ranks come from range partitions and their offsets, so no task holds all rows.
+    Rows are dealt into buckets by quantiles of the first order column, which a task evaluated again finds the same, and ranks come from
+    each bucket's own and the rows of the buckets before. So no task holds all rows, and only counts by bucket are collected by one.
     """
-    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    parts = parts.withColumns({"_p": F.spark_partition_id(), "_i": F.monotonically_increasing_id()})
-    counts = parts.groupBy("_p").agg(F.count("*").alias("_c"), F.min("_i").alias("_first"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = order[0]
+    cuts = rows.agg(F.percentile_approx(by, [k / parts for k in range(1, parts)], 10000)).first()[0] if parts > 1 else None
+    bucket = F.lit(0)
+    for c in sorted(set(cuts or [])):
+        bucket = bucket + F.when(F.col(by) > F.lit(c), 1).otherwise(0)
+    dealt = rows.withColumn("_p", bucket)
+    counts = dealt.groupBy("_p").agg(F.count("*").alias("_c"))
     offsets = counts.withColumn("_o", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")
-    joined = parts.join(offsets, "_p")
-    return joined.withColumn(name, F.floor((F.col("_i") - F.col("_first") + F.col("_o")) / size)).drop("_p", "_i", "_first", "_o")
+    ranked = dealt.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1).join(offsets, "_p")
+    return ranked.withColumn(name, F.floor((F.col("_i") + F.col("_o")) / size)).drop("_p", "_i", "_o")

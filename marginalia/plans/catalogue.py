@@ -27,10 +27,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
+    from marginalia.plans import forms  # noqa: F401  its queries register here
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from marginalia.plans import forms  # noqa: F401
+
     return dict(SQL)
 
 
@@ -39,7 +43,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def norm_sql(x: str) -> str:
-    folded = f"regexp_replace(translate(lower(regexp_replace({x}, '[{{}}]', '', 'g')), '{T.ACCENTED}', '{T.FOLDED}'), '[^\\x00-\\x7F]', '', 'g')"
+    folded = f"regexp_replace(translate(lower(regexp_replace({x}, '[{{}}]', '', 'g')), 'àáâäãéèêëíìîïóòôöõúùûüñçß', 'aaaaaeeeeiiiiooooouuuunc'), '[^\\x00-\\x7F]', '', 'g')"
     return f"trim(regexp_replace(regexp_replace({folded}, '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
 
 
@@ -68,7 +72,7 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT lang, {norm_sql('text')} AS text_norm, count(*) AS n FROM documents WHERE {norm_sql('text')} <> '' GROUP BY ALL HAVING count(*) > 1")
 def duplicate_title_in_group(spark, sf_dir):
     rows = read(spark, sf_dir, "documents").select("lang", T.normal("text").alias("text_norm")).where("text_norm <> ''")
-    return duplicates.multiplicity(rows, ["lang", "text_norm"])
+    return duplicates.long_multiplicity(rows, ["lang"], "text_norm")
 
 
 @query("SELECT conv_id, role, count(*) AS n FROM conversations GROUP BY ALL HAVING count(*) > 1")
@@ -367,10 +371,12 @@ def merge_conflicts(spark, sf_dir):
     return decide.merged(read(spark, sf_dir, "lineitem"), "l_partkey", F.struct("l_orderkey", "l_linenumber"), ["l_returnflag", "l_linestatus"], ["l_returnflag"])
 
 
-@query("""SELECT md5(lower(coalesce(text, ''))[1:40]) AS head, doc_id, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY md5(lower(coalesce(text, ''))[1:40]) ORDER BY n_chars DESC, doc_id) = 1""")
+@query("""SELECT md5(lower(coalesce(text, ''))) AS digest, doc_id, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY md5(lower(coalesce(text, ''))) ORDER BY n_chars DESC, doc_id) = 1""")
 def richest_row_dedup(spark, sf_dir):
-    rows = read(spark, sf_dir, "documents").select(F.md5(F.substring(F.lower(F.coalesce("text", F.lit(""))), 1, 40)).alias("head"), "doc_id", "n_chars")
-    return duplicates.best_row(rows, ["head"], [F.desc("n_chars"), F.asc("doc_id")])
+    """Of documents of one whole text the longest; an aggregate on structs, which combines before the shuffle."""
+    rows = read(spark, sf_dir, "documents").select(F.md5(F.encode(F.lower(F.coalesce("text", F.lit(""))), "UTF-8")).alias("digest"), "doc_id", "n_chars")
+    best = F.max_by(F.struct("doc_id", "n_chars"), F.struct(F.coalesce("n_chars", F.lit(-1)), -F.col("doc_id")))
+    return rows.groupBy("digest").agg(best.alias("b")).select("digest", "b.*")
 
 
 @query("SELECT o_orderkey, year(o_orderdate) AS y FROM orders ORDER BY y DESC, o_orderkey")
@@ -389,7 +395,8 @@ def batches(spark, sf_dir):
     return tracking.batches(read(spark, sf_dir, "part").select("p_partkey"), ["p_partkey"], 20).select("p_partkey", F.col("batch").cast("long").alias("batch"))
 
 
-STOP_SQL = "(" + ", ".join(f"'{w}'" for w in T.STOPWORDS) + ")"
+#: By hand, apart from the list that the operators use.
+STOP_SQL = "('a', 'about', 'against', 'an', 'and', 'as', 'at', 'between', 'by', 'during', 'for', 'from', 'in', 'into', 'of', 'on', 'or', 'over', 'the', 'to', 'under', 'via', 'with', 'without')"
 KEYED_SQL = f"""w AS (SELECT doc_id, lang, list_filter(string_split({norm_sql("text")}, ' '), lambda x: x <> '') AS ws FROM documents),
     c AS (SELECT doc_id, coalesce(lang, 'paper') || (1990 + doc_id % 30) AS head, list_filter(ws, lambda x: length(x) > 2 AND x NOT IN {STOP_SQL}) AS good, ws FROM w),
     base AS (SELECT doc_id, head || coalesce(good[1], ws[1], 'paper') AS base FROM c)"""
@@ -463,13 +470,23 @@ def page_tier_buckets(spark, sf_dir):
     return rows.groupBy("tier").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
 
 
-MARKS_SQL = " OR ".join(f"contains(m, '{m}')" for m in rules.TRANSIENT)
+#: Messages of failures, one after the other by event, and by hand which of them may pass by themselves and which count as an outage.
+FAILURES = [
+    ("", True, True), ("HTTP status 503", True, True), ("http 404", False, False), ("http 408", True, True), ("HTTP 425 too early", True, True), ("http 429", True, True), ("http 500", True, True), ("http 502", True, True),
+    ("http 504", True, True), ("read timed out", True, True), ("Timeout waiting", True, True), ("temporarily gone", True, True), ("Connection refused", True, True), ("ChunkedEncodingError()", True, True),
+    ("ContentDecodingError()", True, True), ("Name or service not known", True, True), ("Temporary failure in name resolution", True, True), ("connection reset by peer", True, True), ("connection aborted", True, True),
+    ("Broken pipe", True, True), ("SSL handshake failure", True, True), ("unexpected content-type text/html", False, False), ("invalid pdf", False, False), ("no candidate urls", False, False), ("something else", False, True),
+    ("http status 403", False, True), ("http 4290", True, True),
+]
+FAILURES_SQL = "[" + ", ".join(f"{{'m': '{m}', 't': {str(t).lower()}, 'a': {str(a).lower()}}}" for m, t, a in FAILURES) + "]"
 
 
-@query(f"WITH e AS (SELECT event_id, 'http ' || (400 + event_id % 110) AS m FROM events) SELECT event_id, m = '' OR regexp_matches(m, '\\bhttp(?:\\s+status)?\\s+(408|425|429|500|502|503|504)\\b') OR {MARKS_SQL} AS transient FROM e")
+@query(f"WITH e AS (SELECT event_id, event_type, {FAILURES_SQL}[event_id % {len(FAILURES)} + 1] AS f FROM events) SELECT event_id, f.m AS message, f.t AS transient, f.a AND event_type = 'error' AS outage FROM e")
 def failure_classifier(spark, sf_dir):
-    rows = read(spark, sf_dir, "events").select("event_id", F.concat(F.lit("http "), (400 + F.col("event_id") % 110).cast("string")).alias("m"))
-    return rows.select("event_id", rules.transient(F.col("m")).alias("transient"))
+    messages = F.array(*[F.lit(m) for m, *_ in FAILURES])
+    state = F.when(F.col("event_type") == "error", "failed").otherwise("done")
+    rows = read(spark, sf_dir, "events").select("event_id", state.alias("state"), F.get(messages, (F.col("event_id") % len(FAILURES)).cast("int")).alias("message"))
+    return rows.select("event_id", "message", rules.transient(F.col("message")).alias("transient"), rules.counts_toward_abort(F.col("state"), F.col("message")).alias("outage"))
 
 
 @query(f"""WITH {LOG_SQL}, r AS (SELECT *, sum(CASE WHEN status <> 'failed' THEN 1 ELSE 0 END) OVER (PARTITION BY entry_key ORDER BY ts, event_id) AS run FROM log)
@@ -478,9 +495,10 @@ def consecutive_failure_runs(spark, sf_dir):
     return tracking.runs(log(spark, sf_dir), "entry_key", ["ts", "event_id"], F.col("status") != "failed")
 
 
-@query("""WITH r AS (SELECT event_id, event_type, user_id, ts, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) / 1e6 AS wait FROM events) SELECT event_id, event_type, user_id, wait FROM r WHERE wait < 600""")
+@query("""WITH r AS (SELECT event_id, event_type, user_id, ts, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id))) / 1e6 AS wait FROM events) SELECT event_id, event_type, user_id, wait FROM r WHERE wait < 600""")
 def host_pacing_violations(spark, sf_dir):
-    return tracking.pacing(read(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], F.lit(600)).select("event_id", "event_type", "user_id", "wait")
+    rows = read(spark, sf_dir, "events").withColumn("kind", F.struct("event_type", "user_id"))
+    return tracking.pacing(rows, "kind", ["ts", "event_id"], F.lit(600)).select("event_id", "event_type", "user_id", "wait")
 
 
 CLEAN_SQL = spaces_sql(r"regexp_replace(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '\\[nt]', ' ', 'g')")

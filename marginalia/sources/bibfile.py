@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -197,9 +199,44 @@ def guard(before: DataFrame, after: DataFrame, more_comments: int = 0) -> DataFr
 
 
 def write_checked(spark: SparkSession, rows: DataFrame, before: DataFrame, folder: str) -> DataFrame:
-    """Writes files_of(rendered(rows)) as a table in `folder`, parses it anew, and returns the files that fail the guard."""
-    files_of(rendered(rows)).write.mode("overwrite").parquet(folder)
-    return guard(before, blocks(spark.read.parquet(folder)))
+    """Renders rows and writes the files that pass the guard to `folder`, one .bib file for each file_path; returns those that fail it.
+
+    The new texts are staged beside the folder, parsed anew and compared with `before` first. A file that passes is written under a
+    passing name, what it replaces is kept as a rollback copy until the new one is in place, and is put back if that fails. A file that fails
+    the guard is left as it is.
+    """
+    stage = f"{folder.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    files_of(rendered(rows)).write.parquet(stage)
+    made = spark.read.parquet(stage)
+    bad = [r["file_path"] for r in guard(before, blocks(made)).select("file_path").collect()]
+    good = made.join(spark.createDataFrame([(p,) for p in bad], "file_path string"), "file_path", "left_anti")
+
+    def put(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = pyarrow.fs.FileSystem.from_uri(folder)
+        for frame in frames:
+            for path, text in zip(frame["file_path"], frame["value"]):
+                to = f"{root.rstrip('/')}/{path.lstrip('/')}"
+                store.create_dir(to.rpartition("/")[0], recursive=True)
+                new, old = f"{to}.{uuid.uuid4().hex}.new", f"{to}.{uuid.uuid4().hex}.rollback"
+                with store.open_output_stream(new) as f:
+                    f.write((text + "\n").encode())
+                had = store.get_file_info(to).type == pyarrow.fs.FileType.File
+                if had:
+                    store.copy_file(to, old)
+                try:
+                    store.move(new, to)
+                except OSError:
+                    if had:
+                        store.move(old, to)
+                    raise
+                if had:
+                    store.delete_file(old)
+            yield frame[["file_path"]]
+
+    written = good.select("file_path", "value").mapInPandas(put, "file_path string").count()
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return spark.createDataFrame([(p, written) for p in bad], "file_path string, written long")
 
 
 def without_comments(found: DataFrame, keep: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginalia.functions import similarity as S
 from marginalia.functions import text as T
 
 
@@ -61,11 +62,12 @@ def listing(pages: DataFrame, page_col: str, pattern: str = r'<a[^>]+href="([^"]
     return pages.select(F.explode(both).alias("z")).select("z.href", T.strip_tags("z.title").alias("title"))
 
 
-def atom(feeds: DataFrame, column: str = "feed") -> DataFrame:
-    """Entries of Atom feeds: id, title, authors, year, rank."""
+def atom(feeds: DataFrame, column: str = "feed", keys: list[str] | None = None) -> DataFrame:
+    """Entries of Atom feeds: the feed's keys, id, title, authors, year, rank."""
     plain = F.regexp_replace(F.regexp_replace(F.col(column), r'\sxmlns(:\w+)?="[^"]*"', ""), r"<(/?)\w+:", "<$1")
-    rows = feeds.select(F.posexplode(F.regexp_extract_all(plain, F.lit(r"(?s)(<entry>.*?</entry>)"), F.lit(1))).alias("rank", "e"))
-    return rows.select(T.arxiv_id(F.xpath_string("e", F.lit("entry/id"))).alias("id"), T.spaces(F.xpath_string("e", F.lit("entry/title"))).alias("title"), F.xpath("e", F.lit("entry/author/name/text()")).alias("authors"), T.year(F.xpath_string("e", F.lit("entry/published"))).alias("year"), "rank")
+    keys = keys or []
+    rows = feeds.select(*keys, F.posexplode(F.regexp_extract_all(plain, F.lit(r"(?s)(<entry>.*?</entry>)"), F.lit(1))).alias("rank", "e"))
+    return rows.select(*keys, T.arxiv_id(F.xpath_string("e", F.lit("entry/id"))).alias("id"), T.spaces(F.xpath_string("e", F.lit("entry/title"))).alias("title"), F.xpath("e", F.lit("entry/author/name/text()")).alias("authors"), T.year(F.xpath_string("e", F.lit("entry/published"))).alias("year"), "rank")
 
 
 def tei_features(rows: DataFrame, column: str = "tei") -> DataFrame:
@@ -78,6 +80,14 @@ def tei_features(rows: DataFrame, column: str = "tei") -> DataFrame:
     })
 
 
+def tei_match(features: DataFrame, title: Column, author: Column) -> DataFrame:
+    """Adds to tei_features how they fit an entry: title_similarity, bib_first_author_surname, first_author_match (null without both names)."""
+    name = T.first_surname(author)
+    both = (name != "") & (F.col("first_author_surname") != "")
+    out = features.withColumn("title_similarity", S.sequence_ratio(T.normal("title"), T.normal(title))).withColumn("bib_first_author_surname", name)
+    return out.withColumn("first_author_match", F.when(both, T.normal("first_author_surname") == name))
+
+
 def pdf_title(content: Column) -> Column:
     """The title in the first two million bytes of a PDF, if it is plausible: 3 to 40 words, mostly letters."""
     found = T.spaces(F.regexp_extract(F.decode(F.substring(content, 1, 2_000_000), "ISO-8859-1"), r"/Title\s*\(([^)]*)\)", 1))
