@@ -81,6 +81,7 @@ def _names(prints: np.ndarray) -> pa.Array:
 def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
     """(doc, v, n, bands) of (doc, text): the set's name and size, and its bands (null for an empty set)."""
 
+    @common.frugal
     def emit(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _batches(rows, 1 << 21):
             values, firsts = shingle_sets(texts, k)
@@ -97,6 +98,7 @@ def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
 def _sets(docs: DataFrame, k: int) -> DataFrame:
     """(v, n, items) of (v, text); rows whose text has another name are left out."""
 
+    @common.frugal
     def emit(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _batches(rows, 1 << 21):
             values, firsts = shingle_sets(texts, k)

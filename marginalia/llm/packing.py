@@ -30,6 +30,7 @@ def token_pieces(docs: DataFrame, path: str, most: int = 1024, id_col: str = "do
     first are full.
     """
 
+    @common.frugal
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = batch_tokenizer(path)
         for batch in batches:

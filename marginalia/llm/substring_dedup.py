@@ -67,6 +67,7 @@ def _batches(rows: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[tu
 def _occurrences(docs: DataFrame, length: int) -> DataFrame:
     """(a, s, s2, doc, i, n): anchor, two hashes of its segment, document, first window, windows."""
 
+    @common.frugal
     def emit(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _batches(rows):
             words, firsts = word_hashes(texts)
@@ -78,6 +79,7 @@ def _occurrences(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _anchor_counts(docs: DataFrame, length: int) -> DataFrame:
+    @common.frugal
     def emit(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _batches(rows):
             a, n = np.unique(anchors(*word_hashes(texts), length)[0], return_counts=True)
@@ -89,6 +91,7 @@ def _anchor_counts(docs: DataFrame, length: int) -> DataFrame:
 def _windows(found: DataFrame, length: int) -> DataFrame:
     """(w1, w2, doc, i) of the windows of given occurrences; found: (doc, text, at array<struct<i, n>>)."""
 
+    @common.frugal
     def emit(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _batches(rows):
             words, firsts = word_hashes(texts)
@@ -148,6 +151,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, id_col: str = "doc_id", te
     joined = docs.withColumn("__m_doc", ident).join(spans.withColumnRenamed("doc", "__m_doc"), "__m_doc", "left")
     joined = joined.select("__m_spans", F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"))
 
+    @common.frugal
     def kept(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             n_words, n_removed, out, sha = [], [], [], []

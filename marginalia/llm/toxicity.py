@@ -196,6 +196,7 @@ def fit(docs: DataFrame, marks: DataFrame, per_class: int = 2000, k: int = 15) -
     found = docs.where("text is not null").select("doc_id", "text", *text)
     examples = found.join(F.broadcast(chosen), ["doc_id", "h1", "h2"]).dropDuplicates(["h1", "h2", "toxic"])
 
+    @common.frugal
     def words(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _parts(rows, 4):
             h, text = term_hashes(texts)
@@ -226,6 +227,7 @@ def fit(docs: DataFrame, marks: DataFrame, per_class: int = 2000, k: int = 15) -
 def inverse_frequencies(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
     """ln((1 + documents) / (1 + documents with the term)) + 1, over all of docs."""
 
+    @common.frugal
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(len(terms) + 1, np.int64)
         for _, texts in _parts(rows, 0):
@@ -289,6 +291,7 @@ def score(docs: DataFrame, index: Index, evidence: int = 3, keep_text: bool = Tr
     rest = [c for c in docs.columns if c not in added and c != "text"]
     order = [c for c in docs.columns if c not in added and (c != "text" or keep_text)]
 
+    @common.frugal
     def scored(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         known: dict[bytes, tuple[float, list]] = {}
