@@ -24,7 +24,8 @@ def test_word_hashes_do_not_depend_on_chunks(odd_rows, monkeypatch):
     words = [brute.WORD.findall((t or "").translate(brute.FOLD)) for _, t in pairs(odd_rows)]
     assert np.diff(firsts).tolist() == [len(w) for w in words]
     flat = [x for w in words for x in w]
-    assert len(set(flat)) == len(np.unique(h)) and len({(a, b) for a, b in zip(flat, h.tolist())}) == len(set(flat))
+    for one in h:
+        assert len(set(flat)) == len(np.unique(one)) and len(set(zip(flat, one.tolist()))) == len(set(flat))
     monkeypatch.setattr(common, "_CHUNK", 997)
     again, f2 = common.word_hashes(texts, lower=True)
     assert (again == h).all() and (f2 == firsts).all()
@@ -92,6 +93,16 @@ def test_line_dedup_has_no_python(odd_docs):
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
 
 
+def test_runs_are_not_shuffled_again(spark):
+    """Rows dealt by key meet a run without another exchange of the run."""
+    keys = lambda *k: spark.createDataFrame([(x, x) for x in k], "k1 long, k2 long")
+    runs = line_dedup.LineRuns(spark, limit=2)
+    with common.scope():
+        runs.add(keys(1, 2, 3).groupBy("k1", "k2").count().withColumnRenamed("count", "n"))
+        plan = runs.unseen(keys(1, 5).groupBy("k1", "k2").count())._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_runs_find_unseen_keys(spark):
     runs = line_dedup.LineRuns(spark, limit=3, fanout=2)
     batch = lambda *k: spark.createDataFrame([(x, x, 1) for x in k], "k1 long, k2 long, n long")
@@ -178,6 +189,25 @@ def test_components(spark):
     assert got == {2: 1, 3: 1, 6: 1, 7: 1, 8: 1, 9: 1, 5: 4}
 
 
+def thue_morse(n):
+    """A word and its mirror image, which share every polynomial hash modulo a power of two."""
+    one = "".join("ab"[k.bit_count() % 2] for k in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [64, 128, 2048])
+def test_words_of_one_polynomial_hash_are_told_apart(spark, n):
+    r = random.Random(12)
+    one, two = thue_morse(n)
+    base = sentence(r, 30).split()
+    rows = [(k, " ".join([*base[:10], w, *base[10:]])) for k, w in enumerate((one, two))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in minmax_dedup.near_dedup(df, 85).collect()}
+    assert got == {d: x for (d, _), x in zip(rows, brute.near(rows, 85))} and got[1][1] == 1
+    got = {x.doc_id: (x.n_words, x.n_removed, x.kept_text) for x in substring_dedup.remove_repeats(df).collect()}
+    assert got == {d: x for (d, _), x in zip(rows, brute.repeats(rows))}
+
+
 # --- substring dedup ---------------------------------------------------------------------------------------------------
 
 
