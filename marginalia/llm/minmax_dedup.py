@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.llm import common
@@ -114,22 +114,28 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(v, c): the least node of each node's component, by large and small stars; edges: (x, y), none from a node to itself.
 
-    Each round is two joins; a hub's rows are split by the skew join. Nodes without an edge are not returned.
+    Each round is two joins; a hub's rows are split by the skew join. It ends when the edges are stars: no node is both a centre and a
+    point, nor a point of two centres. Nodes without an edge are not returned.
     """
-    edges = common.staged(edges.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), "edges")
-    before = None
-    while True:
+    edges = edges.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+    edges = common.staged(edges, "edges")
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.where("y > x").join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y")).where("x != y").distinct()
-        large = common.staged(large, "large-star")
+        large = both.where("y > x").join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y")).where("x != y")
+        large = common.staged(large, "large-star")  # with repeats, but no more rows than edges
         least = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y")).unionByName(least.select("x", F.col("m").alias("y")))
         edges = common.staged(small.where("x != y").distinct(), "small-star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("x").alias("v"), F.col("y").alias("c"))
-        before = now
+    return edges.select(F.col("x").alias("v"), F.col("y").alias("c"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node of the edges (x > y) is either the point x of one edge or a centre y."""
+    ends = edges.select(F.col("x").alias("v"), F.lit(1).alias("point"), F.lit(0).alias("centre"))
+    ends = ends.unionByName(edges.select(F.col("y").alias("v"), F.lit(0).alias("point"), F.lit(1).alias("centre")))
+    nodes = ends.groupBy("v").agg(F.sum("point").alias("points"), F.max("centre").alias("centre"))
+    return not nodes.where("points + centre > 1").take(1)
 
 
 def _reach(percent: int, inter: str, n1: str, n2: str) -> str:
@@ -169,7 +175,7 @@ def _linked(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int,
     # The counts hold among nodes of big buckets only: in a small bucket, a shingle of `alone` may be shared with a node that is in no big one.
     bound = F.when(F.col("m") > BIG, F.col("n") - F.coalesce("u", F.lit(0))).otherwise(F.col("n"))
     members = members.join(alone, "v", "left").select("b", "v", "n", bound.alias("e"), F.col("v").alias("c"))
-    labels = links = tested = None
+    labels = tested = None
     turn = 0
     while True:
         members = _open(members, percent, turn)
@@ -185,8 +191,7 @@ def _linked(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int,
         tested = met.select("x", "y") if tested is None else tested.unionByName(met.select("x", "y"))
         new = met.where("linked").select("x", "y")
         if new.take(1):
-            links = new if links is None else links.unionByName(new)
-            labels = components(links)
+            labels = components(new if labels is None else new.unionByName(labels.select(F.col("v").alias("x"), F.col("c").alias("y"))))
             members = members.drop("c").join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
         members = common.staged(members.where("not lead").select("b", "v", "n", "e", "c"), "members-left")
         turn += 1
@@ -208,8 +213,9 @@ def _open(members: DataFrame, percent: int, turn: int) -> DataFrame:
     else:
         ranked, salt = live, F.lit(0)
     best = ranked.groupBy("b", salt.alias("salt")).agg(F.min(F.struct(share, F.col("v"))).alias("best"))
-    where = ["v"] if turn else ["b", "v"]
-    lead = common.staged(best.select("b", F.col("best.v").alias("v")).select(*where).distinct().withColumn("lead", F.lit(True)), "leaders")
+    best = best.select("b", F.col("best.v").alias("v"))  # the first turn has one a bucket
+    where, best = (["v"], best.select("v").distinct()) if turn else (["b", "v"], best)
+    lead = common.staged(best.withColumn("lead", F.lit(True)), "leaders")
     live = live.select("b", "v", "n", "e", "c").join(lead, where, "left").withColumn("lead", F.coalesce("lead", F.lit(False)))
     return common.staged(live, "members-open")
 
@@ -219,10 +225,9 @@ def _leader_pairs(members: DataFrame, percent: int) -> DataFrame:
 
     A pair that shares several buckets is made in the least of those that its leader leads, so the join makes each pair once.
     """
-    own = common.staged(members.groupBy("v").agg(F.collect_set("b").alias("own")), "own-buckets")
-    met = members.join(own, "v")
-    lead = members.where("lead").groupBy("v", "n", "e", "c").agg(F.collect_set("b").alias("led"))
-    lead = common.staged(lead.select(F.explode("led").alias("b"), *(F.col(c).alias(f"l{c}") for c in "vnec"), "led"), "leading")
+    node = Window.partitionBy("v")  # at most one row a band
+    met = members.select("b", "v", "n", "e", "c", F.collect_set("b").over(node).alias("own"))
+    lead = members.where("lead").select("b", *(F.col(c).alias(f"l{c}") for c in "vnec"), F.collect_set("b").over(node).alias("led"))
     least = F.array_min(F.array_intersect("own", "led"))
     met = met.join(lead, (met["b"] == lead["b"]) & (met["c"] != lead["lc"]) & F.expr(_reach(percent, "least(e, le)", "n", "ln")) & (met["b"] == least))
     return met.select(F.least("v", "lv").alias("x"), F.greatest("v", "lv").alias("y")).distinct()
