@@ -7,7 +7,8 @@ probability J**4, and 32 bands miss a pair of similarity 0.85 with probability 6
 Equal sets are one node. Inside a bucket no step makes all pairs: leaders are compared with the members of
 other components, links join components, and leaders that met every member retire. It ends when each bucket
 has one component left, so every pair of a bucket is either in one component or was compared, or cannot reach the threshold
-by an exact bound: in buckets of more than BIG nodes, on shingles that no other node of any such bucket has.
+by an exact bound: in buckets of more than BIG nodes, on shingles that no other node of any such bucket has; in all buckets, on the
+bits in which the parities of two sets differ, each of which some shingle of one set alone must have turned.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ from marginalia.llm.substring_dedup import _batches
 PERMUTATIONS = 64
 ROWS = 4
 BIG = 16
+PARITIES = 8  # longs of a set's parity bits
 _A = stream(0xF00D, PERMUTATIONS) | np.uint64(1)
 _B = stream(0xBEEF, PERMUTATIONS)
+_BITS = [f"p{i}" for i in range(PARITIES)]
 
 
 def shingle_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,6 +67,16 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return key
 
 
+def parities(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Of sets that are not empty, bits that each shingle turns one of: (sets, PARITIES).
+
+    Sets of sizes n and m whose bits differ in d places have at least d shingles that are not in both, so they share (n + m - d) / 2 at most.
+    """
+    spot = mix(values + np.uint64(99))
+    lane, bit = spot % np.uint64(PARITIES), np.uint64(1) << (spot >> np.uint64(58))
+    return np.stack([np.bitwise_xor.reduceat(np.where(lane == k, bit, np.uint64(0)), starts) for k in range(PARITIES)], axis=1)
+
+
 def _prints(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """128 bits that name each set."""
     out = np.zeros((len(firsts) - 1, 2), np.uint64)
@@ -78,8 +91,14 @@ def _names(prints: np.ndarray) -> pa.Array:
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(prints), [None, pa.py_buffer(np.ascontiguousarray(prints).tobytes())]).cast(pa.binary())
 
 
+def _lists(has: np.ndarray, rows: np.ndarray) -> pa.Array:
+    """One list a set: the next of `rows` where the set has one, else no items."""
+    ends = np.concatenate(([0], np.cumsum(np.where(has, rows.shape[1], 0))))
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.ascontiguousarray(rows).reshape(-1).view(np.int64)))
+
+
 def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
-    """(doc, v, n, bands) of (doc, text): the set's name and size, and its bands (null for an empty set)."""
+    """(doc, v, n, bands, parity) of (doc, text): the set's name and size, its bands and its parity bits (both without items for an empty set)."""
 
     @common.frugal
     def emit(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,11 +107,11 @@ def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
             n = np.diff(firsts)
             full = np.flatnonzero(n)
             keys = bands(minmax(values, firsts[full])) if len(full) else np.zeros((0, 2 * PERMUTATIONS // ROWS), np.uint64)
-            lists = np.concatenate(([0], np.cumsum(np.where(n > 0, keys.shape[1], 0))))
-            held = pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.array(keys.reshape(-1).view(np.int64)))
-            yield pa.record_batch([batch.column(0), _names(_prints(values, firsts)), pa.array(n), held], names=["doc", "v", "n", "bands"])
+            bits = parities(values, firsts[full]) if len(full) else np.zeros((0, PARITIES), np.uint64)
+            lists = [_lists(n > 0, rows) for rows in (keys, bits)]
+            yield pa.record_batch([batch.column(0), _names(_prints(values, firsts)), pa.array(n), *lists], names=["doc", "v", "n", "bands", "parity"])
 
-    return docs.mapInArrow(emit, "doc long, v binary, n long, bands array<long>")
+    return docs.mapInArrow(emit, "doc long, v binary, n long, bands array<long>, parity array<long>")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -147,9 +166,9 @@ def _reach(percent: int, inter: str, n1: str, n2: str) -> str:
 def near_components(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame:
     """(doc, n, component): docs is (doc long, text string); component is the least doc of those that links reach."""
     found = common.staged(signatures(docs, k), "signatures")
-    nodes = found.where("n > 0").groupBy("v", "n").agg(F.min(F.struct("doc", "bands")).alias("r")).select("v", "n", "r.*")
+    nodes = found.where("n > 0").groupBy("v", "n").agg(F.min(F.struct("doc", "bands", "parity")).alias("r")).select("v", "n", "r.*")
     nodes = common.staged(nodes, "nodes")
-    rows = nodes.select("v", "n", F.explode("bands").alias("b"))
+    rows = nodes.select("v", "n", *(F.col("parity")[i].alias(p) for i, p in enumerate(_BITS)), F.explode("bands").alias("b"))
     shared = common.staged(rows.groupBy("b").agg(F.count("*").alias("m")).where("m > 1"), "shared-bands")
     members = common.staged(rows.join(shared, "b"), "members")
     labels = _linked(docs, nodes, members, percent, k) if members.take(1) else None
@@ -174,7 +193,7 @@ def _linked(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int,
     alone = alone.groupBy("v").agg(F.count("*").alias("u"))
     # The counts hold among nodes of big buckets only: in a small bucket, a shingle of `alone` may be shared with a node that is in no big one.
     bound = F.when(F.col("m") > BIG, F.col("n") - F.coalesce("u", F.lit(0))).otherwise(F.col("n"))
-    members = members.join(alone, "v", "left").select("b", "v", "n", bound.alias("e"), F.col("v").alias("c"))
+    members = members.join(alone, "v", "left").select("b", "v", "n", bound.alias("e"), F.col("v").alias("c"), *_BITS)
     labels = tested = None
     turn = 0
     while True:
@@ -193,7 +212,7 @@ def _linked(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int,
         if new.take(1):
             labels = components(new if labels is None else new.unionByName(labels.select(F.col("v").alias("x"), F.col("c").alias("y"))))
             members = members.drop("c").join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
-        members = common.staged(members.where("not lead").select("b", "v", "n", "e", "c"), "members-left")
+        members = common.staged(members.where("not lead").select("b", "v", "n", "e", "c", *_BITS), "members-left")
         turn += 1
 
 
@@ -216,7 +235,7 @@ def _open(members: DataFrame, percent: int, turn: int) -> DataFrame:
     best = best.select("b", F.col("best.v").alias("v"))  # the first turn has one a bucket
     where, best = (["v"], best.select("v").distinct()) if turn else (["b", "v"], best)
     lead = common.staged(best.withColumn("lead", F.lit(True)), "leaders")
-    live = live.select("b", "v", "n", "e", "c").join(lead, where, "left").withColumn("lead", F.coalesce("lead", F.lit(False)))
+    live = live.select("b", "v", "n", "e", "c", *_BITS).join(lead, where, "left").withColumn("lead", F.coalesce("lead", F.lit(False)))
     return common.staged(live, "members-open")
 
 
@@ -226,10 +245,12 @@ def _leader_pairs(members: DataFrame, percent: int) -> DataFrame:
     A pair that shares several buckets is made in the least of those that its leader leads, so the join makes each pair once.
     """
     node = Window.partitionBy("v")  # at most one row a band
-    met = members.select("b", "v", "n", "e", "c", F.collect_set("b").over(node).alias("own"))
-    lead = members.where("lead").select("b", *(F.col(c).alias(f"l{c}") for c in "vnec"), F.collect_set("b").over(node).alias("led"))
+    met = members.select("b", "v", "n", "e", "c", *_BITS, F.collect_set("b").over(node).alias("own"))
+    lead = members.where("lead").select("b", *(F.col(c).alias(f"l{c}") for c in ("v", "n", "e", "c", *_BITS)), F.collect_set("b").over(node).alias("led"))
     least = F.array_min(F.array_intersect("own", "led"))
-    met = met.join(lead, (met["b"] == lead["b"]) & (met["c"] != lead["lc"]) & F.expr(_reach(percent, "least(e, le)", "n", "ln")) & (met["b"] == least))
+    differ = " + ".join(f"bit_count({p} ^ l{p})" for p in _BITS)
+    may = F.expr(_reach(percent, "least(e, le)", "n", "ln")) & F.expr(_reach(percent, f"(n + ln - ({differ})) / 2", "n", "ln"))
+    met = met.join(lead, (met["b"] == lead["b"]) & (met["c"] != lead["lc"]) & may & (met["b"] == least))
     return met.select(F.least("v", "lv").alias("x"), F.greatest("v", "lv").alias("y")).distinct()
 
 

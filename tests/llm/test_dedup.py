@@ -175,6 +175,22 @@ def test_near_dedup_odd(odd_docs, odd_rows, no_docs):
     assert minmax_dedup.near_dedup(no_docs).count() == 0
 
 
+def test_parities_never_rule_out_shared_shingles():
+    """The bound holds for sets of any overlap, one in the other and equal ones too, and is sharp where few shingles differ."""
+    r = np.random.default_rng(5)
+    for size in (1, 3, 40, 500, 9000):
+        pool = r.integers(0, 1 << 63, 3 * size, dtype=np.uint64)
+        for shared in {0, 1, size // 2, size - 1, size} - {-1}:
+            a, b = np.unique(pool[:size]), np.unique(np.concatenate((pool[:shared], pool[size : 2 * size - shared], pool[2 * size : 2 * size + shared // 9])))
+            if not len(b):
+                continue
+            p = minmax_dedup.parities(np.concatenate((a, b)), np.array([0, len(a)]))
+            differ = sum(int(x).bit_count() for x in p[0] ^ p[1])
+            inter, apart = len(np.intersect1d(a, b)), len(np.setxor1d(a, b))
+            assert inter <= (len(a) + len(b) - differ) / 2
+            assert differ >= 0.8 * apart or apart > 64
+
+
 def test_minmax_is_unbiased():
     r = np.random.default_rng(4)
     x = r.integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2)
