@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import grace_dedup, language_id, line_dedup, minmax_dedup, packing, site_style, substring_dedup, subword_sampling, threshold_search, toxicity
+from marginalia.llm import grace_dedup, language_id, line_dedup, minmax_dedup, packing, periodic_runs, site_style, substring_dedup, subword_sampling, threshold_search, toxicity
 from marginalia.llm.common import table
 
 
@@ -55,8 +55,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs, length=20).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), planted=True)
+    best = periodic_runs.longest()
+    run = [best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli")]
+    return found.withColumn("best", best).select("doc_id", "n_runs", *run, "runs_sha256", "collapsed_sha256")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_threshold_top_k, op3_site_style_text, op4_minmax_near_dedup, op5_language_id, op6_line_dedup, op7_subword_sampling, op8_exact_dedup, op9_best_fit_packing, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_threshold_top_k, op3_site_style_text, op4_minmax_near_dedup, op5_language_id, op6_line_dedup, op7_subword_sampling, op8_exact_dedup, op9_best_fit_packing, op10_substring_dedup, op13_periodic_runs)}
 
 
 LINE_KEY = r"translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
