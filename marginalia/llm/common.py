@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import ctypes
 import functools
 import gc
@@ -42,22 +43,39 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/marginalia/{name}-{uuid.uuid4().hex}"
 
 
-#: The tables of each open scope, innermost last: their session, place, and name in the catalogue, if any.
-_scopes: list[list[tuple[SparkSession, str, str | None]]] = []
+#: The tables of each open scope, innermost last: their session, place, and name in the catalogue, if any. Threads have scopes of their own.
+_scopes: contextvars.ContextVar[tuple[list[tuple[SparkSession, str, str | None]], ...]] = contextvars.ContextVar("scopes", default=())
+
+
+def _delete(spark: SparkSession, path: str, name: str | None) -> None:
+    if name:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 @contextlib.contextmanager
 def scope():
     """Deletes the tables staged inside it when it ends; a result of these must be staged outside or be read before."""
-    _scopes.append([])
+    outer, own = _scopes.get(), []
+    _scopes.set((*outer, own))
     try:
         yield
     finally:
-        for spark, path, name in _scopes.pop():
-            if name:
-                spark.sql(f"DROP TABLE IF EXISTS {name}")
-            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _scopes.set(outer)
+        for made in own:
+            _delete(*made)
+
+
+def release(df: DataFrame) -> None:
+    """Deletes a table that staged() or sorted_run() returned (or the result of a tidy operator), once nothing reads it any more; other frames are left alone."""
+    made = getattr(df, "_marginalia_table", None)
+    if made:
+        for tables in _scopes.get():
+            if made in tables:
+                tables.remove(made)
+        _delete(*made)
+        df._marginalia_table = None
 
 
 def tidy(operator):
@@ -81,26 +99,32 @@ def staged(df: DataFrame, name: str, by: str | None = None, outside: bool = Fals
     spark = df.sparkSession
     path = fresh_path(spark, name)
     schema = df.schema
-    if len(_scopes) > outside:
-        _scopes[-1 - outside].append((spark, path, None))
+    made = (spark, path, None)
+    if len(_scopes.get()) > outside:
+        _scopes.get()[-1 - outside].append(made)
     writer = df.write.partitionBy(by) if by else df.write
     writer.parquet(path)
     del df, writer
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._marginalia_table = made
+    return out
 
 
 def sorted_run(df: DataFrame, keys: list[str]) -> DataFrame:
-    """df as a table in the shared folder, in buckets by the keys and sorted in each, so that joins on the keys with another run, or with rows
+    """df as a table of the session's catalogue (to be read by this session; other drivers need a shared metastore), its files in the shared folder, in buckets by the keys and sorted in each, so that joins on the keys with another run, or with rows
     that a shuffle dealt by them, don't move it again. Belongs to the innermost scope."""
     spark = df.sparkSession
     path, name = fresh_path(spark, "run"), f"marginalia_run_{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append((spark, path, name))
+    made = (spark, path, name)
+    if _scopes.get():
+        _scopes.get()[-1].append(made)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.format("parquet").bucketBy(parts, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    out = spark.table(name)
+    out._marginalia_table = made
+    return out
 
 
 def frugal(work):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import grace_dedup, language_id, licence_index, line_dedup, minmax_dedup, packing, periodic_runs, site_style, substring_dedup, subword_sampling, threshold_search, toxicity
+from marginalia.llm import exponion, grace_dedup, language_id, licence_index, line_dedup, minmax_dedup, packing, periodic_runs, site_style, substring_dedup, subword_sampling, threshold_search, toxicity
 from marginalia.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs, length=20).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_exponion_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exponion.cluster(table(spark, sf_dir, "embeddings"), dims=64, clusters=40, rounds=5, seed="2:", scale=256)
+
+
 def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licence_index.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", *[c.alias(name) for name, c in licence_index.report().items()])
@@ -68,7 +72,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_threshold_top_k, op3_site_style_text, op4_minmax_near_dedup, op5_language_id, op6_line_dedup, op7_subword_sampling, op8_exact_dedup, op9_best_fit_packing, op10_substring_dedup, op12_licence_scan, op13_periodic_runs)}
+    return {f.__name__: f for f in (op1_toxicity, op2_threshold_top_k, op3_site_style_text, op4_minmax_near_dedup, op5_language_id, op6_line_dedup, op7_subword_sampling, op8_exact_dedup, op9_best_fit_packing, op10_substring_dedup, op11_exponion_clusters, op12_licence_scan, op13_periodic_runs)}
 
 
 LINE_KEY = r"translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -76,6 +80,7 @@ LINE_KEY = r"translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) ||
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_exponion_clusters": exponion.oracle_sql(),
         "op12_licence_scan": licence_index.oracle_sql(),
         "op6_line_dedup": f"""
             WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
