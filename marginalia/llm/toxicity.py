@@ -1,8 +1,8 @@
 """Toxicity from the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
 
 All words of the examples are terms. A plain TF-IDF cosine ranks by topic and language first and finds few toxic texts (see the README
-for figures), so a term's weight is its TF-IDF times the square of its log odds between the classes, smoothed. That leaves every term
-and every example in the index.
+for figures), so a term's weight is its TF-IDF times its relevance: the square of its log odds between the classes, smoothed, and less
+the less sure these are (see relevance). That leaves every term and every example in the index.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from marginalia.llm.common import byte_hashes
 
 BLOCK = 64
 SMOOTH = 5.0
+DOUBT = 3.0
 _CHARS = 1 << 20
 
 
@@ -79,7 +80,7 @@ class Index:
     """
 
     terms: np.ndarray
-    weight: np.ndarray  # of a term: its inverse document frequency times the square of its log odds
+    weight: np.ndarray  # of a term: its inverse document frequency times its relevance
     ids: np.ndarray
     labels: np.ndarray
     rows_weight: np.ndarray
@@ -219,9 +220,20 @@ def fit(docs: DataFrame, marks: DataFrame, per_class: int = 2000, k: int = 15) -
     idf = inverse_frequencies(docs, terms)
     a = np.bincount(term, weights=labels[example], minlength=len(terms))
     b = np.bincount(term, minlength=len(terms)) - a
+    return _index(terms, idf * relevance(a, b, n), rows["doc_id"].to_numpy(), labels, {y: total[y] / n[y] for y in (0, 1)}, example, term, count, k)
+
+
+def relevance(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of terms in `a` toxic and `b` clean examples of n[1] and n[0]: squared log odds, times z / (z + DOUBT) for their squared z-score z.
+
+    A word of a few clean texts has log odds as large as a marker's, as clean texts are many, but is far less sure: among few examples, the plain
+    square let clean neighbours that share only topic words outvote a marker.
+    """
     odds = n[1] / n.sum()
-    relevance = np.log((a + SMOOTH * odds) / (b + SMOOTH * (1 - odds)) * (1 - odds) / odds) ** 2
-    return _index(terms, idf * relevance, rows["doc_id"].to_numpy(), labels, {y: total[y] / n[y] for y in (0, 1)}, example, term, count, k)
+    toxic, clean = a + SMOOTH * odds, b + SMOOTH * (1 - odds)
+    square = np.log(toxic / clean * (1 - odds) / odds) ** 2
+    z = square / (1 / toxic + 1 / clean)
+    return square * z / (z + DOUBT)
 
 
 def inverse_frequencies(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
