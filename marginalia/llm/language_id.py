@@ -13,10 +13,15 @@ from pyspark.sql import functions as F
 from marginalia.llm import common
 
 WINDOW = 256
-LETTER = re.compile(r"[^\W\d_]")
+_PERHAPS = re.compile(r"[^\W\d_]")
 _AT_ONCE = 256
 
 
+def has_letter(text: str) -> bool:
+    """Whether a code point of the text is in Unicode's category L (the pattern alone also takes numbers such as ½)."""
+    return any(m[0].isalpha() for m in _PERHAPS.finditer(text))
+
+
 class ByteCNN:
     """Byte embedding, filters of several widths with ReLU, max pooling over a window, softmax."""
 
@@ -57,39 +62,44 @@ class ByteCNN:
             out.append(z / z.sum(1, keepdims=True))
         return np.concatenate(out) if out else np.zeros((0, len(self.classes)), np.float32)
 
+    def gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean cross-entropy of windows x with classes y, by each parameter."""
+        n, size = len(x), self.p["E"].shape[1]
+        self.training = True
+        pooled, where = self._pooled(x)
+        self.training = False
+        z = pooled @ self.p["U"] + self.p["b"]
+        z = np.exp(z - z.max(1, keepdims=True))
+        dz = z / z.sum(1, keepdims=True)
+        dz[np.arange(n), y] -= 1
+        dz /= n
+        g = {"U": pooled.T @ dz, "b": dz.sum(0), "E": np.zeros_like(self.p["E"])}
+        dh = (dz @ self.p["U"].T) * (pooled > 0)
+        at = 0
+        for w, top in zip(self.widths, where):
+            d = dh[:, at : at + top.shape[1]]
+            at += top.shape[1]
+            bytes_ = x[np.arange(n)[:, None, None], top[:, :, None] + np.arange(w)]  # (windows, filters, w)
+            patch = self.p["E"][bytes_].reshape(n, top.shape[1], w * size)
+            g[f"W{w}"] = np.einsum("bfk,bf->kf", patch, d)
+            g[f"c{w}"] = d.sum(0)
+            back = d[:, :, None] * self.p[f"W{w}"].T[None]
+            np.add.at(g["E"], bytes_.reshape(-1), back.reshape(-1, size))
+        return g
+
     def train(self, x: np.ndarray, y: np.ndarray, steps: int = 500, batch: int = 64, rate: float = 0.01, seed: int = 11) -> None:
         """Adam on the cross-entropy of windows x with classes y."""
         r = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         s = {k: np.zeros_like(v) for k, v in self.p.items()}
-        size, self.training = self.p["E"].shape[1], True
         for step in range(1, steps + 1):
             pick = r.integers(0, len(x), batch)
-            xb, yb = x[pick], y[pick]
-            pooled, where = self._pooled(xb)
-            z = pooled @ self.p["U"] + self.p["b"]
-            z = np.exp(z - z.max(1, keepdims=True))
-            dz = z / z.sum(1, keepdims=True)
-            dz[np.arange(batch), yb] -= 1
-            dz /= batch
-            g = {"U": pooled.T @ dz, "b": dz.sum(0), "E": np.zeros_like(self.p["E"])}
-            dh = (dz @ self.p["U"].T) * (pooled > 0)
-            at = 0
-            for w, top in zip(self.widths, where):
-                d = dh[:, at : at + top.shape[1]]
-                at += top.shape[1]
-                bytes_ = xb[np.arange(batch)[:, None, None], top[:, :, None] + np.arange(w)]  # (batch, filters, w)
-                patch = self.p["E"][bytes_].reshape(batch, top.shape[1], w * size)
-                g[f"W{w}"] = np.einsum("bfk,bf->kf", patch, d)
-                g[f"c{w}"] = d.sum(0)
-                back = d[:, :, None] * self.p[f"W{w}"].T[None]
-                np.add.at(g["E"], bytes_.reshape(-1), back.reshape(-1, size))
+            g = self.gradients(x[pick], y[pick])
             lr = rate * min(1, 2 * (1 - step / (steps + 1)))
             for k in self.p:
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
                 s[k] = 0.99 * s[k] + 0.01 * g[k] ** 2
                 self.p[k] -= (lr * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
-        self.training = False
 
 
 def windows(data: bytes) -> np.ndarray:
@@ -119,7 +129,7 @@ def _trained(sample: DataFrame, windows_each: int) -> ByteCNN | None:
         for batch in rows:
             lang, out = [], []
             for text, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if LETTER.search(text):
+                if has_letter(text):
                     data = windows(text.encode())
                     r = np.random.default_rng(len(text))
                     for k in r.permutation(len(data))[:windows_each]:
@@ -167,7 +177,7 @@ def identify(docs: DataFrame, network: ByteCNN | None) -> DataFrame:
                 group.clear()
 
             for k, text in enumerate(texts):
-                if network and text and LETTER.search(text):
+                if network and text and has_letter(text):
                     group.append((k, text.encode()))
                     size += len(text)
                     if size > 1 << 20:

@@ -17,14 +17,16 @@ _LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 class Lists:
     """Distinct vectors and, for each dimension, their order by component; equal vectors share a row and keep the ids that can matter.
 
-    Vectors are whole numbers held as doubles. Where all of a block's products fit, sums are made in 64-bit integers, else in Python's.
+    Vectors are whole numbers, held as doubles of 1 / scale of them. Where all of a block's products fit, sums are made in 64-bit integers, else
+    in Python's.
     """
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> None:
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, scale: int = 1) -> None:
+        self.scale = scale
         order = np.argsort(ids, kind="stable")
         ids, vectors = ids[order], np.ascontiguousarray(vectors[order]) + 0.0
         _, first, which = np.unique(vectors.view(np.dtype((np.void, vectors.itemsize * vectors.shape[1]))).ravel(), return_index=True, return_inverse=True)
-        self.largest = float(np.abs(vectors).max()) if vectors.size else 0.0
+        self.largest = float(np.abs(vectors).max()) * scale if vectors.size else 0.0  # may be infinite
         self.vectors = self._whole(vectors[first], self.largest < _SAFE)
         by = np.argsort(which, kind="stable")
         cuts = np.searchsorted(which[by], np.arange(len(first) + 1))
@@ -33,11 +35,11 @@ class Lists:
         self.wide: np.ndarray | None = None
         self.read = 0
 
-    @staticmethod
-    def _whole(vectors: np.ndarray, fits: bool) -> np.ndarray:
+    def _whole(self, vectors: np.ndarray, fits: bool) -> np.ndarray:
         if fits:
-            return vectors.astype(np.int64)
-        return np.array([int(x) for x in vectors.ravel().tolist()], object).reshape(vectors.shape)
+            return (vectors * self.scale).astype(np.int64)
+        parts = (x.as_integer_ratio() for x in vectors.ravel().tolist())
+        return np.array([over * self.scale // under for over, under in parts], object).reshape(vectors.shape)
 
     @staticmethod
     def _kept(ids: np.ndarray, k: int) -> np.ndarray:
@@ -55,7 +57,8 @@ class Lists:
         below the kth score; an equal sum goes on, for a smaller id could tie.
         """
         n = len(self.vectors)
-        vectors, fits = self.vectors, self.largest * float(np.abs(query).sum()) < _SAFE
+        with np.errstate(over="ignore", invalid="ignore"):
+            vectors, fits = self.vectors, bool(self.largest * (np.abs(query).sum() * self.scale) < _SAFE)
         if not fits and vectors.dtype != object:
             if self.wide is None:
                 self.wide = self.vectors.astype(object)
@@ -101,12 +104,12 @@ class Lists:
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(vec_id, v): floor(scale * component) as a double, which holds each such whole number exactly; only rows with an id and with a vector
+    """(vec_id, v): floor(scale * component) / scale as a double, which is exact for a power of two; only rows with an id and with a vector
     without null and non-finite components."""
     x = F.col(vector_col).cast("array<double>")
     whole = x.isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     # floor() gives a long and would cut doubles beyond 2**63, which have no fraction anyway
-    units = F.transform(x, lambda c: F.when(F.abs(c * scale) < 2.0**62, F.floor(c * scale).cast("double")).otherwise(c * scale))
+    units = F.transform(x, lambda c: F.when(F.abs(c * scale) < 2.0**62, F.floor(c * scale).cast("double") / scale).otherwise(c))
     return vectors.where(whole & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), units.alias("v"))
 
 
@@ -115,7 +118,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
 
     Score: inner product of quantised vectors; vectors of unequal length count as filled up with zeros. Every row is a candidate, rows that
     repeat an id too; queries that repeat an id share one list of k. Scores are ranked as whole numbers of any size, and shown
-    as the nearest long where they are beyond 64 bits (scale * component must be a finite double). Candidates are dealt into blocks by
+    as the nearest long where they are beyond 64 bits. scale is a power of two. Candidates are dealt into blocks by
     the hash of their rows, and a task makes the lists of its block once and then takes the queries one batch after the other, so memory
     follows the block. Only for more than `chunk` queries a block goes to several tasks. Each query's best of all blocks meet at the end.
     Fewer candidates give fewer rows; an empty table gives none.
@@ -160,7 +163,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
                     data += part.column("v").to_pylist()
                     continue
                 if lists is None and ids:
-                    lists, data = Lists(np.array(ids, np.int64), matrix(data), k), []
+                    lists, data = Lists(np.array(ids, np.int64), matrix(data), k, scale), []
                 if lists is not None:
                     for own, query in zip(part.column("vec_id").to_pylist(), matrix(part.column("v").to_pylist())):
                         out += [(own, i, s) for s, i in lists.top(query, own, k)]

@@ -3,6 +3,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -147,7 +148,19 @@ def test_language(spark):
     assert all(out[d].held_out == (zlib.crc32(str(d).encode()) % 4 == 2) and 0 <= out[d].score <= 1 for d, _, _ in rows)
 
 
-def test_network_gradients():
+def plain_probabilities(p, widths, window):
+    """The network's probabilities of one window, position by position, in plain sums."""
+    pooled = []
+    for w in widths:
+        for f in range(p[f"W{w}"].shape[1]):
+            at = [sum(float(p["E"][window[i + j]][d]) * float(p[f"W{w}"][j * p["E"].shape[1] + d][f]) for j in range(w) for d in range(p["E"].shape[1])) for i in range(len(window) - w + 1)]
+            pooled.append(max(0.0, max(at) + float(p[f"c{w}"][f])))
+    z = [sum(v * float(p["U"][k][c]) for k, v in enumerate(pooled)) + float(p["b"][c]) for c in range(len(p["b"]))]
+    e = [math.exp(v - max(z)) for v in z]
+    return [v / sum(e) for v in e]
+
+
+def test_network_learns():
     net = language_id.ByteCNN(["a", "b"], filters=3, size=2)
     x = np.random.default_rng(1).integers(0, 256, (40, 32)).astype(np.uint8)
     y = (x[:, 3] > 128).astype(int)
@@ -157,6 +170,46 @@ def test_network_gradients():
     assert np.allclose(net.probabilities(x).sum(1), 1, atol=1e-5)
 
 
+def test_network_gradients_equal_differences():
+    net = language_id.ByteCNN(["a", "b", "c"], filters=3, size=2)
+    r = np.random.default_rng(2)
+    net.p = {k: r.normal(0, 0.7, v.shape) for k, v in net.p.items()}  # doubles, so that differences are sharp
+    x, y = r.integers(0, 6, (5, 9)).astype(np.uint8), np.array([0, 1, 2, 1, 0])
+
+    def loss():
+        return -np.log(net.probabilities(x)[np.arange(5), y]).mean()
+
+    for name, g in net.gradients(x, y).items():
+        for at in [tuple(r.integers(0, n) for n in g.shape) for _ in range(12)] + ([(int(x[0, 0]), 0), (int(x[1, 3]), 1)] if name == "E" else []):
+            was, step = net.p[name][at], 1e-6
+            net.p[name][at] = was + step
+            up = loss()
+            net.p[name][at] = was - step
+            down = loss()
+            net.p[name][at] = was
+            assert g[at] == pytest.approx((up - down) / (2 * step), abs=1e-6)
+
+
+def test_inference_equals_plain_sums(spark):
+    """Whole texts of one and of several windows: the mean over windows by their bytes, against the plain network."""
+    net = language_id.ByteCNN(["x", "y", "z"], filters=2, size=3)
+    r = random.Random(4)
+    texts = ["a", "é" * 130, "".join(r.choice("abc déf 漢") for _ in range(700)), "b" * language_id.WINDOW]
+    got = language_id.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), net).orderBy("doc_id").collect()
+    for text, row in zip(texts, got):
+        data = text.encode()
+        parts = [data[a : a + language_id.WINDOW] for a in range(0, len(data), language_id.WINDOW)]
+        p = [plain_probabilities(net.p, net.widths, part.ljust(language_id.WINDOW, b"\0")) for part in parts]
+        mean = [sum(q[c] * len(part) for q, part in zip(p, parts)) / len(data) for c in range(3)]
+        assert row.lang_pred == net.classes[int(np.argmax(mean))] and row.score == pytest.approx(max(mean), abs=1e-5)
+
+
+def test_numbers_are_no_letters(spark):
+    rows = [(k, "plain words here", "en") for k in range(8)] + [(10, "½", None), (11, "²", None), (12, "①", None), (13, "Ⅷ", None), (14, "½a", None), (15, "漢", None), (16, "_1", None)]
+    out = {r.doc_id: r.lang_pred for r in language_id.language(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [out[k] for k in range(10, 17)] == ["und"] * 4 + ["en", "en", "und"]
+
+
 def test_windows_cover_whole_texts():
     for n in (0, 1, 255, 256, 257, 1000):
         data = bytes(range(1, 256)) * 5
@@ -172,6 +225,17 @@ def test_language_odd(odd_docs, odd_rows, no_docs):
     assert language_id.language(no_docs).count() == 0
 
 
+def test_products_beyond_doubles(spark):
+    """Finite components whose products with the scale are not: scores are exact and ranked, and shown as the nearest long."""
+    rows = [(0, [1e308, 1.0]), (1, [1e308, 2.0]), (2, [-1e308, 0.0]), (3, [1.5, -0.25]), (4, [1e300, 1e300]), (10, [-2.0, 1e-310])]
+    found = threshold_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0, 3).collect()
+    whole = {i: [(Fraction(x) * 1024).__floor__() for x in v] for i, v in rows}
+    shown = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+    for q in (0, 10):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole if i != q)[:3]
+        assert sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == q) == [(k + 1, i, shown(-s)) for k, (s, i) in enumerate(best)]
+
+
 # --- tokens and packing ------------------------------------------------------------------------------------------------
 
 
