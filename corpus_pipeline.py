@@ -58,8 +58,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each stage's result is written and read again."""
+    """All stages over `documents`; each stage's result is written and read again, and deleted when the next one is written.
+
+    The result is a table in the shared folder; common.release deletes it.
+    """
     docs = common.table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = common.staged(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for name, stage in STAGES:
+        with common.scope():
+            made = common.staged(stage(spark, docs, sf_dir), f"stage-{name}", outside=True)
+        common.release(docs)
+        docs = made
+    return docs
