@@ -98,9 +98,9 @@ def fields(body: str, macros: dict[str, str]) -> dict[str, str]:
     return out
 
 
-def parse(text: str) -> Iterator[dict]:
-    """Blocks of a file in order: entry, comment, preamble, string, error."""
-    macros: dict[str, str] = {}
+def parse(text: str, macros: dict[str, str] | None = None) -> Iterator[dict]:
+    """Blocks of a file in order: entry, comment, preamble, string, error. macros: those known before; definitions are added to them."""
+    macros = {} if macros is None else macros
     at = 0
     while m := HEADER.search(text, at):
         line = text.rfind("\n", 0, m.start()) + 1
