@@ -27,13 +27,13 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
-    from marginalia.plans import forms  # noqa: F401  its queries register here
+    from marginalia.plans import forms, stores  # noqa: F401  their queries register here
 
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from marginalia.plans import forms  # noqa: F401
+    from marginalia.plans import forms, stores  # noqa: F401
 
     return dict(SQL)
 

@@ -233,9 +233,14 @@ def blocks(spark: SparkSession, paths: list[str], size: int = CHUNK) -> DataFram
 
     Texts are read twice, and shuffled once by chunk, with the state that it meets. A block's number comes from the counts of the chunks before. Macros
     are resolved by name and place: bare words are joined with the definitions before them. The definitions of one file are one group. A block itself, also one that
-    never closes, is put together in one task. Text that does not end in a line feed is read as if it did.
+    never closes, is put together in one task. Text that does not end in a line feed is read as if it did. The staged blocks stay in the shared
+    folder, as the result reads them.
     """
-    read = lines(spark, paths)
+    return blocks_of(lines(spark, paths), size)
+
+
+def blocks_of(read: DataFrame, size: int = CHUNK) -> DataFrame:
+    """blocks() of files read as lines (file_path, start, value); start orders the splits of a file, whose lines lie together and in order."""
     met = met_states(read, size)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
