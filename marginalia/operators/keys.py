@@ -2,44 +2,99 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginalia.sources import workspace
 
-def suffixed(rows: DataFrame, base: str, order: list[Column], name: str = "key") -> DataFrame:
-    """Adds key: the base for the first row that has it, the base and 1, 2, ... for the next ones."""
-    n = F.row_number().over(Window.partitionBy(base).orderBy(*order)) - 1
-    return rows.withColumn(name, F.when(n == 0, F.col(base)).otherwise(F.concat(F.col(base), n.cast("string"))))
 
+def ranked(rows: DataFrame, group: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+    """rows, staged, with their rank from 0 in their group; ties are ranked too, in any order.
+
+    Rows are dealt by ranges of (group, order), so a group of any size is spread over tasks: a rank is the one within its range and the rows
+    of its group in the ranges before.
+    """
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(parts, *group, *order).withColumn("_part", F.spark_partition_id())
+    dealt = workspace.staged(dealt, "ranges")  # ranges come from a sample, so they are kept rather than made twice
+    same = lambda a, b: reduce(Column.__and__, [a[c].eqNullSafe(b[c]) for c in (*group, "_part")])
+    counts = dealt.groupBy(*group, "_part").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(*group, "_part", before.alias("_before"))
+    own = dealt.withColumn("_own", F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order)) - 1)
+    out = own.join(counts, same(own, counts)).select(*[own[c] for c in rows.columns], (F.col("_own") + F.col("_before")).alias(name))
+    made = workspace.staged(out, "ranked")
+    workspace.drop(dealt)
+    return made
+
+
+def _bound(taken: DataFrame, bases: DataFrame) -> DataFrame:
+    """(base, number, signature) of taken keys (key, signature) in every way in which they are one of the bases and a number."""
+    digits = F.length(F.regexp_extract("key", "([0-9]*)$", 1))
+    ways = taken.withColumn("_j", F.explode(F.sequence(F.lit(0), F.least(digits, F.lit(9)))))
+    number = F.when(F.col("_j") == 0, "0").otherwise(F.expr("right(key, _j)"))
+    ways = ways.select(F.expr("left(key, length(key) - _j)").alias("base"), number.alias("_t"), "signature", "_j").where("_j = 0 or _t not like '0%'")
+    return ways.select("base", F.col("_t").cast("long").alias("number"), "signature").join(bases, "base", "left_semi").distinct()
 
-def disambiguated(entries: DataFrame, taken: DataFrame) -> DataFrame:
-    """(file_path, entry_idx, base, signature, key): the base with the least number that no earlier entry of the file and no other signature has.
 
-    taken: (base, key, signature) of keys that are bound elsewhere. Numbers depend on the entries before, so a base's entries of one file are
-    numbered in turn; groups are by file and base, as no other base can share a key of the form base and digits unless it ends in digits, which the
-    group's own check covers.
+def claimed(rows: DataFrame, scope: list[str], base: str, order: list[str], signature: str | None = None, taken: DataFrame | None = None, name: str = "key") -> DataFrame:
+    """rows with key, as if they came one after the other in the given order: each takes its base, or the base and the least number from 1, that no row before it in its scope has,
+    whatever that row's base, and that `taken` (key, signature) doesn't bind to other signatures only. A null base gets no key.
+
+    Rounds of claims. Every row claims the least key that may be its own; of rows that claim one key the first keeps it for the time being, and the others go on. As
+    keys only go to earlier rows, and rows only to later keys, this ends with what the order alone would give. The j-th row of a base that goes on from a
+    number can end no earlier than j numbers on, unless `taken` binds a number before that to its own signature; so rows of one base start at their rank, and
+    rounds are needed only where bases meet ("a" with 11 and "a1" with 1) and at taken keys, whose runs of numbers are passed in one step.
     """
-    bound = taken.groupBy("base").agg(F.collect_list(F.struct("key", "signature")).alias("bound"))
-    joined = entries.join(bound, "base", "left")
-
-    def number(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("entry_idx")
-        held: dict[str, set] = {}
-        for row in group["bound"].iloc[0] if group["bound"].iloc[0] is not None else []:
-            held.setdefault(row["key"], set()).add(row["signature"])
-        own: set[str] = set()
-        keys = []
-        for base, signature in zip(group["base"], group["signature"]):
-            n, key = 0, base
-            while key in own or key in held and signature not in held[key]:
-                n += 1
-                key = f"{base}{n}"
-            own.add(key)
-            keys.append(key)
-        return group.assign(key=keys)[["file_path", "entry_idx", "base", "signature", "key"]]
-
-    return joined.groupBy("file_path", "base").applyInPandas(number, "file_path string, entry_idx int, base string, signature string, key string")
+    sig = F.col(signature).cast("string") if signature else F.lit(None).cast("string")
+    first = ranked(rows.where(F.col(base).isNotNull()), [*scope, base], [F.col(c) for c in order], "_rank")
+    state = first.withColumns({"_o": F.struct(*order, base, "_rank"), "_sig": sig, "_mine": F.array().cast("array<long>")})
+    runs = None
+    if taken is not None:
+        bases = rows.select(F.col(base).alias("base")).distinct()
+        bound = workspace.staged(_bound(taken.select("key", F.col("signature").cast("string").alias("signature")), bases), "bound")
+        run = F.col("number") - F.row_number().over(Window.partitionBy("base").orderBy("number"))
+        runs = bound.select("base", "number").distinct().withColumn("_run", run).groupBy(F.col("base").alias("_rb"), "_run").agg(F.min("number").alias("_from"), F.max("number").alias("_to")).drop("_run")
+        own = bound.groupBy(F.col("base").alias("_ob"), F.col("signature").alias("_os")).agg(F.collect_set("number").alias("_own"))
+        state = state.join(own, (F.col(base) == F.col("_ob")) & (F.col("_sig") == F.col("_os")), "left").withColumn("_mine", F.coalesce("_own", "_mine")).drop("_own", "_ob", "_os")
+    state = state.withColumn("_n", F.least("_rank", F.array_min("_mine")).cast("long"))  # least() passes over a null
+    columns = state.columns
+    done: DataFrame | None = None
+    while True:
+        if runs is not None:
+            there = state.join(runs, (F.col(base) == F.col("_rb")) & F.col("_n").between(F.col("_from"), F.col("_to")), "left")
+            mine = F.array_min(F.filter("_mine", lambda x: x.between(F.col("_n"), F.col("_to"))))
+            state = there.withColumn("_n", F.coalesce(mine, F.col("_to") + 1, F.col("_n"))).select(*columns)
+        key = F.concat(base, F.when(F.col("_n") > 0, F.col("_n").cast("string")).otherwise(F.lit("")))
+        judged = state.withColumn("_key", key).withColumn("_best", F.min("_o").over(Window.partitionBy(*scope, "_key")))
+        place = F.row_number().over(Window.partitionBy(*scope, "_key", base).orderBy("_o")) - (F.col("_best")[base] == F.col(base)).cast("int")
+        judged = judged.withColumns({"_lost": F.col("_o") != F.col("_best"), "_place": place})
+        next_ = F.least(F.col("_n") + F.col("_place"), F.array_min(F.filter("_mine", lambda x: x > F.col("_n"))))
+        before, done = done, workspace.staged(judged.withColumn("_n", F.when(F.col("_lost"), next_).otherwise(F.col("_n"))).select(*columns, F.col("_key").alias("_claim"), "_lost"), "claims")
+        if before is not None:
+            workspace.drop(before)
+        if done.where("_lost").isEmpty():
+            break
+        state = done.select(*columns)
+    workspace.drop(first)
+    if taken is not None:
+        workspace.drop(bound)
+    rest = [c for c in rows.columns if c != name]
+    none = rows.where(F.col(base).isNull()).select(*rest, F.lit(None).cast("string").alias(name))
+    return done.select(*rest, F.col("_claim").alias(name)).unionByName(none)
+
+
+def suffixed(rows: DataFrame, base: str, order: list[str], name: str = "key") -> DataFrame:
+    """Adds key, unique over all rows: the base for the first row that has it, else the base and the least free number (see claimed)."""
+    return claimed(rows, [], base, order, name=name)
+
+
+def disambiguated(entries: DataFrame, taken: DataFrame) -> DataFrame:
+    """(file_path, entry_idx, base, signature, key): keys unique in their file, and not bound to other signatures elsewhere; taken: (key, signature)."""
+    return claimed(entries, ["file_path"], "base", ["entry_idx"], "signature", taken).select("file_path", "entry_idx", "base", "signature", "key")
 
 
 def rename_map(changes: DataFrame, preferred: Column) -> DataFrame:

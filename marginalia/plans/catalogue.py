@@ -416,7 +416,7 @@ def synthesize_key(spark, sf_dir):
 
 @query(f"WITH {KEYED_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY doc_id) - 1 AS k FROM base) SELECT doc_id, base, CASE WHEN k = 0 THEN base ELSE base || k END AS key FROM n")
 def key_suffix_disambiguation(spark, sf_dir):
-    return keys.suffixed(_bases(spark, sf_dir), "base", [F.col("doc_id")])
+    return keys.suffixed(_bases(spark, sf_dir), "base", ["doc_id"])
 
 
 @query("""WITH l AS (SELECT o_custkey, list_transform(list_sort(list(o_orderkey)), lambda k: CASE WHEN k % 5 = 0 THEN 'new' || k ELSE k::VARCHAR END) AS ks FROM orders GROUP BY 1) SELECT o_custkey, array_to_string(ks, ', ') AS related FROM l""")

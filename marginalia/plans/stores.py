@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginalia.operators import maintained
-from marginalia.plans.catalogue import query
+from marginalia.operators import keys, maintained
+from marginalia.plans.catalogue import query, read
 from marginalia.plans.forms import CITED_SQL, cited, citation_files
 from marginalia.sources import bibchunks, bibsource, workspace
 
@@ -71,3 +71,15 @@ def maintained_collisions(spark, sf_dir):
     kept.update(files(True))
     entries = kept.sums("key").groupBy(F.col("a").alias("entry_key")).agg(F.sum("n").alias("entries"))
     return kept.collisions().join(entries, "entry_key")
+
+
+@query("""WITH RECURSIVE b AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id, coalesce(lang, 'paper') || (n_chars % 14) AS base FROM documents),
+    most AS (SELECT max(n) + count(*) + 2 AS m FROM (SELECT count(*) AS n FROM b GROUP BY base)),
+    g AS (SELECT 0::BIGINT AS i, []::VARCHAR[] AS used, NULL::BIGINT AS doc_id, NULL::VARCHAR AS base, NULL::VARCHAR AS key
+          UNION ALL SELECT i, list_append(used, k), doc_id, base, k
+          FROM (SELECT b.i, used, b.doc_id, b.base, CASE WHEN list_contains(used, b.base) THEN b.base || list_filter(range(1, m), lambda x: NOT list_contains(used, b.base || x))[1] ELSE b.base END AS k FROM g JOIN b ON b.i = g.i + 1, most))
+    SELECT doc_id, base, key FROM g WHERE i > 0""")
+def keys_across_bases(spark, sf_dir):
+    """Keys of bases that end in digits, so that one base and a number may be another base; the SQL gives them out one by one."""
+    base = F.concat(F.coalesce("lang", F.lit("paper")), (F.col("n_chars") % 14).cast("string"))
+    return keys.suffixed(read(spark, sf_dir, "documents").select("doc_id", base.alias("base")), "base", ["doc_id"])

@@ -1,5 +1,7 @@
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from marginalia.operators import coverage, decide, duplicates, keys, matching, reconcile, rules, tracking
@@ -97,6 +99,60 @@ def test_key_numbers(spark):
     assert {(r.old, r.new, r.ambiguous) for r in keys.rename_map(changes, F.col("t") == "y").collect()} == {("o", "n2", True), ("p", "q", False)}
 
 
+def sequential(rows, taken=()):
+    """Keys given out one after the other: rows (file, idx, base, signature) by file and idx."""
+    bound, used, out = {}, {}, {}
+    for key, signature in taken:
+        bound.setdefault(key, set()).add(signature)
+    for f, i, base, signature in sorted(rows, key=lambda r: r[:2]):
+        n, key = 0, base
+        while key in used.setdefault(f, set()) or key in bound and signature not in bound[key]:
+            n += 1
+            key = f"{base}{n}"
+        used[f].add(key)
+        out[f, i] = key
+    return out
+
+
+ENTRIES = "file_path string, entry_idx int, base string, signature string"
+
+
+def test_keys_across_bases(spark):
+    assert [r.key for r in keys.suffixed(spark.createDataFrame([(0, "a"), (1, "a"), (2, "a1")], "o int, b string"), "b", ["o"]).orderBy("o").collect()] == ["a", "a1", "a11"]
+    e = spark.createDataFrame([("f", 0, "a", "s"), ("f", 1, "a", "t")], ENTRIES)
+    taken = spark.createDataFrame([("a1", "other")], "key string, signature string")
+    assert [r.key for r in keys.disambiguated(e, taken).orderBy("entry_idx").collect()] == ["a", "a2"]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_keys_equal_a_sequential_run(spark, seed):
+    r = random.Random(seed)
+    bases = ["a", "a1", "a11", "a12", "a2", "b", "b0", "b01", "1", "11"]
+    rows = [(r.choice("fg"), i, r.choice(bases), r.choice("stuv")) for i in range(60)]
+    taken = list({(r.choice(bases) + r.choice(["", "1", "2", "3", "4", "11", "12", "30"]), r.choice("stuvw")) for _ in range(15))})
+    e = spark.createDataFrame(rows, ENTRIES).repartition(3)
+    got = keys.disambiguated(e, spark.createDataFrame(taken, "key string, signature string"))
+    assert {(x.file_path, x.entry_idx): x.key for x in got.collect()} == sequential(rows, taken)
+
+
+def test_a_hot_base_and_null_bases(spark):
+    rows = [("f", i, "hot" if i % 3 else None if i % 2 else "hot1", "s") for i in range(300)]
+    taken = [(f"hot{n}", "x") for n in range(2, 40)]
+    got = keys.disambiguated(spark.createDataFrame(rows, ENTRIES), spark.createDataFrame(taken, "key string, signature string")).collect()
+    want = sequential([r for r in rows if r[2]], taken)
+    assert {(x.file_path, x.entry_idx): x.key for x in got if x.base} == want and sum(x.key is None for x in got) == sum(r[2] is None for r in rows)
+
+
+def test_ranks_of_spread_groups(spark):
+    df = spark.range(2000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 5 > 0, F.col("id") * 7 % 2000).alias("o"))
+    rows = keys.ranked(df, ["g"], [F.asc_nulls_first("o")]).collect()
+    for g in range(3):
+        mine = sorted((x for x in rows if x.g == g), key=lambda x: x["rank"])
+        assert [x["rank"] for x in mine] == list(range(len(mine)))
+        order = [-1 if x.o is None else x.o for x in mine]
+        assert order == sorted(order)
+
+
 def test_tracking(spark):
     log = spark.createDataFrame([("f", "a", 1, "failed"), ("f", "a", 2, "success"), ("f", "b", 1, "failed"), ("f", "b", 2, "failed")], "file string, key string, ts int, status string")
     assert {(r.key, r.status) for r in tracking.latest(log, ["file", "key"], ["ts"], ["status"]).collect()} == {("a", "success"), ("b", "failed")}
@@ -125,3 +181,13 @@ def test_exceptions(spark):
     ledger = spark.createDataFrame([("k", None, None, "any", dt.date(2030, 1, 1)), ("k", "a/", None, "path", dt.date(2020, 1, 1))], "key string, path_contains string, adapter string, reason string, review_after date")
     got = {r.key: (r.exception, r.expired) for r in matching.with_exception(rows, ledger, "key", "path", "adapter", F.lit("2024-01-01").cast("date")).collect()}
     assert got == {"k": ("path", True), "z": (None, False)}
+
+
+def test_exceptions_do_not_depend_on_the_order_or_size_of_the_ledger(spark):
+    rows = spark.createDataFrame([("k", "a/b", "x")], "key string, path string, adapter string")
+    schema = "key string, path_contains string, adapter string, reason string, review_after date"
+    two = [("k", None, None, "same", dt.date(2030, 1, 1)), ("k", None, None, "same", dt.date(2020, 1, 1))]
+    more = [(f"other{n}", None, None, "r", None) for n in range(1001)]
+    for ledger in (two, two[::-1], two + more, more + two[::-1]):
+        got = matching.with_exception(rows, spark.createDataFrame(ledger, schema), "key", "path", "adapter", F.lit("2024-01-01").cast("date")).collect()
+        assert [(r.exception, r.expired) for r in got] == [("same", True)]
