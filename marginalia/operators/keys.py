@@ -7,30 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginalia.operators.scans import prefix, ranked
 from marginalia.sources import workspace
 
 
-def ranked(rows: DataFrame, group: list[str], order: list[Column], name: str = "rank") -> DataFrame:
-    """rows, staged, with their rank from 0 in their group; ties are ranked too, in any order.
-
-    Rows are dealt by ranges of (group, order), so a group of any size is spread over tasks: a rank is the one within its range and the rows
-    of its group in the ranges before.
-    """
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(parts, *group, *order).withColumn("_part", F.spark_partition_id())
-    dealt = workspace.staged(dealt, "ranges")  # ranges come from a sample, so they are kept rather than made twice
-    same = lambda a, b: reduce(Column.__and__, [a[c].eqNullSafe(b[c]) for c in (*group, "_part")])
-    counts = dealt.groupBy(*group, "_part").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = counts.select(*group, "_part", before.alias("_before"))
-    own = dealt.withColumn("_own", F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order)) - 1)
-    out = own.join(counts, same(own, counts)).select(*[own[c] for c in rows.columns], (F.col("_own") + F.col("_before")).alias(name))
-    made = workspace.staged(out, "ranked")
-    workspace.drop(dealt)
-    return made
-
-
 def _bound(taken: DataFrame, bases: DataFrame) -> DataFrame:
     """(base, number, signature) of taken keys (key, signature) in every way in which they are one of the bases and a number."""
     digits = F.length(F.regexp_extract("key", "([0-9]*)$", 1))
@@ -47,10 +27,11 @@ def claimed(rows: DataFrame, scope: list[str], base: str, order: list[str], sign
     Rounds of claims. Every row claims the least key that may be its own; of rows that claim one key the first keeps it for the time being, and the others go on. As
     keys only go to earlier rows, and rows only to later keys, this ends with what the order alone would give. The j-th row of a base that goes on from a
     number can end no earlier than j numbers on, unless `taken` binds a number before that to its own signature; so rows of one base start at their rank, and
-    rounds are needed only where bases meet ("a" with 11 and "a1" with 1) and at taken keys, whose runs of numbers are passed in one step.
+    where one goes on, those after it are pushed on with it. Rounds are needed only where bases meet ("a" with 11 and "a1" with 1) and at taken keys,
+    whose runs of numbers are passed in one step.
     """
     sig = F.col(signature).cast("string") if signature else F.lit(None).cast("string")
-    first = ranked(rows.where(F.col(base).isNotNull()), [*scope, base], [F.col(c) for c in order], "_rank")
+    first = ranked(rows.where(F.col(base).isNotNull()), [*scope, base], [F.col(c) for c in order], "_rank", keep_part=True)
     state = first.withColumns({"_o": F.struct(*order, base, "_rank"), "_sig": sig, "_mine": F.array().cast("array<long>")})
     runs = None
     if taken is not None:
@@ -61,18 +42,23 @@ def claimed(rows: DataFrame, scope: list[str], base: str, order: list[str], sign
         own = bound.groupBy(F.col("base").alias("_ob"), F.col("signature").alias("_os")).agg(F.collect_set("number").alias("_own"))
         state = state.join(own, (F.col(base) == F.col("_ob")) & (F.col("_sig") == F.col("_os")), "left").withColumn("_mine", F.coalesce("_own", "_mine")).drop("_own", "_ob", "_os")
     state = state.withColumn("_n", F.least("_rank", F.array_min("_mine")).cast("long"))  # least() passes over a null
+    group, along, plain = [*scope, base], [F.col("_rank")], F.size("_mine") == 0
+    state = prefix(state, group, along, plain.cast("long"), F.sum, "_place", own=False).withColumn("_place", F.coalesce("_place", F.lit(0)))
     columns = state.columns
     done: DataFrame | None = None
     while True:
+        # rows without a number of their own take rising numbers, so each is at least as far behind an earlier one as it stands
+        pushed = prefix(state, group, along, F.when(plain, F.col("_n") - F.col("_place")), F.max, "_lead")
+        state = pushed.withColumn("_n", F.when(plain, F.col("_lead") + F.col("_place")).otherwise(F.col("_n"))).select(*columns)
         if runs is not None:
             there = state.join(runs, (F.col(base) == F.col("_rb")) & F.col("_n").between(F.col("_from"), F.col("_to")), "left")
             mine = F.array_min(F.filter("_mine", lambda x: x.between(F.col("_n"), F.col("_to"))))
             state = there.withColumn("_n", F.coalesce(mine, F.col("_to") + 1, F.col("_n"))).select(*columns)
         key = F.concat(base, F.when(F.col("_n") > 0, F.col("_n").cast("string")).otherwise(F.lit("")))
         judged = state.withColumn("_key", key).withColumn("_best", F.min("_o").over(Window.partitionBy(*scope, "_key")))
-        place = F.row_number().over(Window.partitionBy(*scope, "_key", base).orderBy("_o")) - (F.col("_best")[base] == F.col(base)).cast("int")
-        judged = judged.withColumns({"_lost": F.col("_o") != F.col("_best"), "_place": place})
-        next_ = F.least(F.col("_n") + F.col("_place"), F.array_min(F.filter("_mine", lambda x: x > F.col("_n"))))
+        after = F.row_number().over(Window.partitionBy(*scope, "_key", base).orderBy("_o")) - (F.col("_best")[base] == F.col(base)).cast("int")
+        judged = judged.withColumns({"_lost": F.col("_o") != F.col("_best"), "_after": after})
+        next_ = F.least(F.col("_n") + F.col("_after"), F.array_min(F.filter("_mine", lambda x: x > F.col("_n"))))
         before, done = done, workspace.staged(judged.withColumn("_n", F.when(F.col("_lost"), next_).otherwise(F.col("_n"))).select(*columns, F.col("_key").alias("_claim"), "_lost"), "claims")
         if before is not None:
             workspace.drop(before)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginalia.operators import keys, maintained
+from marginalia.operators import keys, maintained, scans
 from marginalia.plans.catalogue import query, read
 from marginalia.plans.forms import CITED_SQL, cited, citation_files
 from marginalia.sources import bibchunks, bibsource, workspace
@@ -83,3 +83,15 @@ def keys_across_bases(spark, sf_dir):
     """Keys of bases that end in digits, so that one base and a number may be another base; the SQL gives them out one by one."""
     base = F.concat(F.coalesce("lang", F.lit("paper")), (F.col("n_chars") % 14).cast("string"))
     return keys.suffixed(read(spark, sf_dir, "documents").select("doc_id", base.alias("base")), "base", ["doc_id"])
+
+
+@query("""WITH e AS (SELECT event_id, event_type, epoch_us(ts) AS came, ts, CASE event_type WHEN 'error' THEN 7200 ELSE 60 * (user_id % 5) END * 1000000 AS wait FROM events),
+    p AS (SELECT *, coalesce(sum(wait) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p FROM e)
+    SELECT event_id, event_type, (p + max(came - p) OVER (PARTITION BY event_type ORDER BY ts, event_id) - came)::BIGINT AS waits FROM p""")
+def paced_requests(spark, sf_dir):
+    """Each event as a request to the host of its type, planned at its slot: how many microseconds it waits."""
+    rows = read(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    wait = F.when(F.col("event_type") == "error", 7200).otherwise(60 * (F.col("user_id") % 5)) * 1_000_000
+    planned = scans.paced(rows.select("event_id", "event_type", "ts", at.alias("at"), wait.alias("wait")), ["event_type"], [F.col("ts"), F.col("event_id")], F.col("at"), F.col("wait"))
+    return planned.select("event_id", "event_type", (F.col("slot") - F.col("at")).alias("waits"))

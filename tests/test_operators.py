@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marginalia.operators import coverage, decide, duplicates, keys, matching, reconcile, rules, tracking
+from marginalia.operators import coverage, decide, duplicates, keys, matching, reconcile, rules, scans, tracking
 
 
 def entries(spark, *rows):
@@ -129,14 +129,14 @@ def test_keys_equal_a_sequential_run(spark, seed):
     r = random.Random(seed)
     bases = ["a", "a1", "a11", "a12", "a2", "b", "b0", "b01", "1", "11"]
     rows = [(r.choice("fg"), i, r.choice(bases), r.choice("stuv")) for i in range(60)]
-    taken = list({(r.choice(bases) + r.choice(["", "1", "2", "3", "4", "11", "12", "30"]), r.choice("stuvw")) for _ in range(15))})
+    taken = list({(r.choice(bases) + r.choice(["", "1", "2", "3", "4", "11", "12", "30"]), r.choice("stuvw")) for _ in range(15)})
     e = spark.createDataFrame(rows, ENTRIES).repartition(3)
     got = keys.disambiguated(e, spark.createDataFrame(taken, "key string, signature string"))
     assert {(x.file_path, x.entry_idx): x.key for x in got.collect()} == sequential(rows, taken)
 
 
 def test_a_hot_base_and_null_bases(spark):
-    rows = [("f", i, "hot" if i % 3 else None if i % 2 else "hot1", "s") for i in range(300)]
+    rows = [("f", i, "hot" if i % 3 else None if i % 2 else "hot1", "s") for i in range(120)]
     taken = [(f"hot{n}", "x") for n in range(2, 40)]
     got = keys.disambiguated(spark.createDataFrame(rows, ENTRIES), spark.createDataFrame(taken, "key string, signature string")).collect()
     want = sequential([r for r in rows if r[2]], taken)
@@ -145,7 +145,7 @@ def test_a_hot_base_and_null_bases(spark):
 
 def test_ranks_of_spread_groups(spark):
     df = spark.range(2000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 5 > 0, F.col("id") * 7 % 2000).alias("o"))
-    rows = keys.ranked(df, ["g"], [F.asc_nulls_first("o")]).collect()
+    rows = scans.ranked(df, ["g"], [F.asc_nulls_first("o")]).collect()
     for g in range(3):
         mine = sorted((x for x in rows if x.g == g), key=lambda x: x["rank"])
         assert [x["rank"] for x in mine] == list(range(len(mine)))
@@ -153,6 +153,20 @@ def test_ranks_of_spread_groups(spark):
         assert order == sorted(order)
 
 
+def test_slots_equal_a_sequential_loop(spark):
+    r = random.Random(3)
+    rows = [(n, "hot" if n % 4 else r.choice(["a", None]), r.choice([r.randint(0, 4000), n]), r.choice([0, 1, 5, None, -3])) for n in range(1500)]
+    df = spark.createDataFrame(rows, "id long, host string, at long, wait long").repartition(3)
+    got = scans.paced(df, ["host"], [F.col("at"), F.col("id")], F.col("at"), F.col("wait"))
+    want, next_ = {}, {}
+    for n, host, at, wait in sorted(rows, key=lambda x: (x[2], x[0])):
+        want[n] = max(at, next_.get(host, at))
+        next_[host] = want[n] + max(wait or 0, 0)
+    assert {x.id: x.slot for x in got.collect()} == want
+    dealt = scans._dealt(df, ["host"], [F.col("at"), F.col("id")])
+    assert dealt.where("host = 'hot'").select("_part").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_tracking(spark):
     log = spark.createDataFrame([("f", "a", 1, "failed"), ("f", "a", 2, "success"), ("f", "b", 1, "failed"), ("f", "b", 2, "failed")], "file string, key string, ts int, status string")
     assert {(r.key, r.status) for r in tracking.latest(log, ["file", "key"], ["ts"], ["status"]).collect()} == {("a", "success"), ("b", "failed")}
