@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions import text as T
@@ -146,6 +146,22 @@ def lint(entries: DataFrame, profile: str = "strict", oral: str = "") -> DataFra
     return entries.select("file_path", "entry_idx", "entry_key", F.posexplode(every).alias("rule", "i")).select("file_path", "entry_idx", "entry_key", "rule", "i.*")
 
 
+#: Fields whose presence tells how ready entries are for the later steps.
+READY = ("title", "author", "year", "url", "pdf", "abstract", "doi", "file")
+
+
+def counted_lint(entries: DataFrame, profile: str = "strict", oral: str = "") -> tuple[DataFrame, Observation, Observation]:
+    """lint(), with counters that the same pass fills: of the entries (entries, and with_<field> for each of READY), and of the issues (issues, errors, warnings).
+
+    The observations can be read when an action on the issues has ended; they count what that one scan met, so nothing is read a second time.
+    """
+    seen, made = Observation("entries"), Observation("issues")
+    rows = entries.observe(seen, F.count(F.lit(1)).alias("entries"), *[F.count_if(T.filled(F.col("fields")[n])).alias(f"with_{n}") for n in READY])
+    issues = lint(rows, profile, oral)
+    counters = [F.count(F.lit(1)).alias("issues"), F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings")]
+    return issues.observe(made, *counters), seen, made
+
+
 def profile_entries(entries: DataFrame) -> DataFrame:
     """One row of statistics an entry: what it has, its normal title and author, DOI, and link fingerprint."""
     f = lambda n: F.coalesce(F.col("fields")[n], F.lit(""))

@@ -1,6 +1,6 @@
 """Queries over stores that a run writes and reads: the citation source, chunked parsing, maintained counts.
 
-Citations are made from the rows of `part`, as in plans.forms, and written below the shared folder.
+What they write lies below the shared folder.
 """
 
 from __future__ import annotations
@@ -10,46 +10,44 @@ from pyspark.sql import functions as F
 
 from marginalia.operators import keys, maintained, scans
 from marginalia.plans.catalogue import query, read
-from marginalia.plans.forms import CITED_SQL, cited, citation_files
-from marginalia.sources import bibchunks, bibsource, workspace
+from marginalia.plans.forms import CITED_SQL, cited
+from marginalia.sources import bibchunks, bibsource, memo, workspace
 
 
-def _entries(spark, sf_dir) -> DataFrame:
-    rows = cited(spark, sf_dir)
-    n = (F.row_number().over(Window.partitionBy("file_path").orderBy("id")) - 1).cast("int")
-    fields = F.create_map(*[x for c in ("title", "author", "year") for x in (F.lit(c), F.col(c))])
-    return rows.select("file_path", n.alias("entry_idx"), "entry_type", "entry_key", fields.alias("fields"))
+#: Documents as entries: what would unbalance a value, or be read as a command, is blanked.
+TEXT_SQL = r"regexp_replace(coalesce(text, ''), '[{}\\]', ' ', 'g')"
 
 
-def _name(path: str):
-    return F.regexp_extract(path, "[^/]*$", 0)
+def _text():
+    return F.regexp_replace(F.coalesce("text", F.lit("")), r"[{}\\]", " ")
 
 
-ENTRY_SQL = f"WITH {CITED_SQL} SELECT file_path, (row_number() OVER (PARTITION BY file_path ORDER BY id) - 1)::INT AS entry_idx, entry_type, entry_key, title, author, year FROM c"
-
-
-@query(ENTRY_SQL)
+@query(f"""SELECT coalesce(lang, 'none') || '/d' || (doc_id // 100) || '.bib' AS file_path, (row_number() OVER (PARTITION BY coalesce(lang, 'none'), doc_id // 100 ORDER BY doc_id) - 1)::INT AS entry_idx,
+    'd' || doc_id AS entry_key, source, md5({TEXT_SQL}) AS digest FROM documents""")
 def citation_source_round_trip(spark, sf_dir):
-    """Entries written by the data source, with its checks and its commit, and read by it."""
+    """Documents as entries of many files: written by the data source, with its checks and its commit, and read by it."""
+    path = F.concat(F.coalesce("lang", F.lit("none")), F.lit("/d"), F.floor(F.col("doc_id") / 100).cast("string"), F.lit(".bib"))
+    n = F.row_number().over(Window.partitionBy("file_path").orderBy("doc_id")) - 1
+    rows = read(spark, sf_dir, "documents").withColumn("file_path", path)
+    fields = F.map_filter(F.create_map(F.lit("source"), F.col("source"), F.lit("abstract"), _text()), lambda k, v: v.isNotNull())
+    entries = rows.select("file_path", n.cast("int").alias("entry_idx"), F.lit("misc").alias("entry_type"), F.concat(F.lit("d"), "doc_id").alias("entry_key"), fields.alias("fields"))
     folder = workspace.fresh(spark, "citations")
-    bibsource.write(_entries(spark, sf_dir), folder)
-    f = F.col("fields")
-    return bibsource.read(spark, folder).select(_name("file_path").alias("file_path"), "entry_idx", "entry_type", "entry_key", *[f[c].alias(c) for c in ("title", "author", "year")])
+    bibsource.write(entries, folder)
+    name = F.regexp_extract("file_path", "[^/]*/[^/]*$", 0)
+    return bibsource.read(spark, folder).select(name.alias("file_path"), "entry_idx", "entry_key", F.col("fields")["source"].alias("source"), F.md5(F.col("fields")["abstract"]).alias("digest"))
 
 
-@query(f"""WITH {CITED_SQL}, e AS (SELECT file_path, row_number() OVER (PARTITION BY file_path ORDER BY id) + 2 AS block_idx, 'entry' AS block_type, entry_key AS name, title || '/Wide Press Inc' AS value FROM c),
-    h AS (SELECT DISTINCT file_path, unnest([0, 1, 2]) AS block_idx, unnest(['comment', 'string', 'preamble']) AS block_type, unnest([NULL, 'pub', NULL]) AS name,
-          unnest(['bibmeta: role = "curated"', 'Wide Press', '\\newcommand{{\\x}}{{y}}']) AS value FROM c)
-    SELECT file_path, block_idx::INT AS block_idx, block_type, name, value FROM e UNION ALL SELECT * REPLACE (block_idx::INT AS block_idx) FROM h""")
+@query(f"""SELECT 'd' || doc_id AS entry_key, 'From ' || coalesce(source, '') AS title, md5({TEXT_SQL}) AS digest FROM documents""")
 def chunked_citation_blocks(spark, sf_dir):
-    """Files cut into chunks of some hundred characters, so that most blocks go over a border, parsed with macros from the files' heads."""
+    """Documents as entries of a few large files, each after a macro that the next one redefines, cut into chunks that the longest entries are larger than."""
+    rows = read(spark, sf_dir, "documents")
+    macro = F.concat(F.lit('@string{s = "From " # {'), F.coalesce("source", F.lit("")), F.lit("}}\n"))
+    value = F.concat(macro, F.lit("@misc{d"), "doc_id", F.lit(",\n title = s,\n abstract = {"), _text(), F.lit("}\n}"))
     folder = workspace.fresh(spark, "texts")
-    texts = citation_files(spark, sf_dir).select(F.regexp_replace("file_path", r"\.bib$", "").alias("file"), "value")
-    texts.write.partitionBy("file").text(f"{folder}/by")
-    lines = spark.read.option("lineSep", "\n").text(f"{folder}/by").select(F.concat("file", F.lit(".bib")).alias("file_path"), F.col("_metadata.file_block_start").alias("start"), "value")
-    blocks = bibchunks.blocks_of(lines, size=500)
-    value = F.when(F.col("block_type") == "entry", F.concat(F.col("fields")["title"], F.lit("/"), F.col("fields")["publisher"])).otherwise(F.col("value"))
-    return blocks.select("file_path", "block_idx", "block_type", F.coalesce("name", "entry_key").alias("name"), value.alias("value"))
+    rows.select(value.alias("value")).write.text(folder)
+    lines = spark.read.option("lineSep", "\n").text(folder).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start"), "value")
+    blocks = bibchunks.blocks_of(lines, size=20_000).where("block_type = 'entry'")
+    return blocks.select("entry_key", F.col("fields")["title"].alias("title"), F.md5(F.col("fields")["abstract"]).alias("digest"))
 
 
 @query(f"""WITH {CITED_SQL}, n AS (SELECT file_path, 'k' || (id % 23) AS entry_key, title, id, regexp_extract(file_path, '[0-9]+')::INT AS f FROM c),
@@ -95,3 +93,25 @@ def paced_requests(spark, sf_dir):
     wait = F.when(F.col("event_type") == "error", 7200).otherwise(60 * (F.col("user_id") % 5)) * 1_000_000
     planned = scans.paced(rows.select("event_id", "event_type", "ts", at.alias("at"), wait.alias("wait")), ["event_type"], [F.col("ts"), F.col("event_id")], F.col("at"), F.col("wait"))
     return planned.select("event_id", "event_type", (F.col("slot") - F.col("at")).alias("waits"))
+
+
+RESPONSES_SQL = f"""one AS (SELECT page_id, url, CASE WHEN page_id % 9 = 4 THEN 503 WHEN page_id % 9 = 5 THEN 404 ELSE 200 END AS code, html AS text, TIMESTAMP '2024-01-01' + INTERVAL (page_id % 40) DAY AS came FROM pages WHERE url IS NOT NULL),
+    two AS (SELECT page_id, url, CASE WHEN page_id % 7 = 3 THEN 429 ELSE 200 END AS code, 'again ' || text AS text, came + INTERVAL 2 DAY AS came FROM one WHERE length(text) % 3 = 0),
+    kept AS (SELECT * FROM one UNION ALL SELECT * FROM two)"""
+
+
+@query(f"""WITH {RESPONSES_SQL}, ok AS (SELECT * FROM kept WHERE code NOT IN (0, 408, 425, 429) AND code < 500 AND came >= TIMESTAMP '2024-01-11'
+      AND NOT ({" OR ".join(f"contains(lower(text), '{m}')" for m in memo.POISON)})),
+    best AS (SELECT url, max({{'came': came, 'code': code, 'text': text}}) AS r FROM ok GROUP BY url)
+    SELECT url, r.code::INT AS status_code, md5(r.text) AS digest, r.came AS fetched_at FROM best""")
+def response_memo(spark, sf_dir):
+    """Captured pages remembered, then some of them again: the last usable response of each url."""
+    at = F.expr("TIMESTAMP '2024-01-01 00:00:00' + make_dt_interval(CAST(page_id % 40 AS INT))")
+    code = F.when(F.col("page_id") % 9 == 4, 503).when(F.col("page_id") % 9 == 5, 404).otherwise(200)
+    one = read(spark, sf_dir, "pages").where("url is not null").select("page_id", "url", code.alias("status_code"), F.col("html").alias("text"), at.alias("fetched_at"))
+    two = one.where(F.length("text") % 3 == 0).select("url", F.when(F.col("page_id") % 7 == 3, 429).otherwise(200).alias("status_code"), F.concat(F.lit("again "), "text").alias("text"), F.expr("fetched_at + INTERVAL 2 DAYS").alias("fetched_at"))
+    kept = memo.Memo(spark, workspace.fresh(spark, "memo"), fanout=2)
+    since = F.lit("2024-01-11").cast("timestamp")
+    kept.remember(one.drop("page_id"), since)
+    kept.remember(two, since)
+    return kept.table(since).select("url", "status_code", F.md5("text").alias("digest"), "fetched_at")

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginalia.operators import scans
 from marginalia.sources import bibfile, workspace
 
 CHUNK = 4 << 20
@@ -292,8 +293,6 @@ def _numbered(rows: DataFrame, place: list[str]) -> DataFrame:
 
 def _with_macros(rows: DataFrame, place: list[str]) -> DataFrame:
     """Rows whose values name macros, parsed anew with the last definition before them; the others as they are."""
-    order = F.struct("start", "sub", "idx")
-
     def resolve(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         macros: dict[str, str] = {}
         out, last = [], None
@@ -310,9 +309,13 @@ def _with_macros(rows: DataFrame, place: list[str]) -> DataFrame:
     strings = rows.where("block_type = 'string'")
     defined = strings.select(*place, "idx", "raw").groupBy("file_path").applyInPandas(resolve, f"{CHUNKS}, idx int, name string, value string")
     asks = rows.where("block_type <> 'string' and size(bare) > 0").select(*place, "idx", F.explode("bare").alias("name"))
-    known = defined.select("file_path", F.col("name"), F.col("value").alias("_value"), order.alias("_at"))
-    met = asks.join(known, ["file_path", "name"]).where(F.col("_at") < order)
-    last = met.groupBy(*place, "idx", "name").agg(F.max_by("_value", "_at").alias("_value"))
+    asks = asks.join(defined.select("file_path", "name").distinct(), ["file_path", "name"], "left_semi")
+    none = F.lit(None).cast("struct<start:long,sub:int,idx:int,value:string>")
+    # definitions and uses of a name in the order of the file; a running maximum carries the last definition on, however often a name is used
+    both = defined.select(*place, "idx", "name", F.struct(*place[1:], "idx", "value").alias("_def")).unionByName(asks.withColumn("_def", none))
+    names = ["file_path", "name"]
+    dealt = scans.ranked(both, names, [F.col(c) for c in (*place[1:], "idx")], "_r", keep_part=True)
+    last = scans.prefix(dealt, names, [F.col("_r")], F.col("_def"), F.max, "_last").where("_def is null and _last is not null").select(*place, "idx", "name", F.col("_last.value").alias("_value"))
     macros = last.groupBy(*place, "idx").agg(F.map_from_entries(F.collect_list(F.struct("name", "_value"))).alias("_macros"))
     both = rows.where("block_type <> 'string'").join(macros, [*place, "idx"], "left")
 
