@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ def _bound(taken: DataFrame, bases: DataFrame) -> DataFrame:
     return ways.select("base", F.col("_t").cast("long").alias("number"), "signature").join(bases, "base", "left_semi").distinct()
 
 
-def claimed(rows: DataFrame, scope: list[str], base: str, order: list[str], signature: str | None = None, taken: DataFrame | None = None, name: str = "key") -> DataFrame:
+def claimed(rows: DataFrame, scope: list[str], base: str, order: list[str], signature: str | None = None, taken: DataFrame | None = None, name: str = "key", rounds: int = 8) -> DataFrame:
     """rows with key, as if they came one after the other in the given order: each takes its base, or the base and the least number from 1, that no row before it in its scope has,
     whatever that row's base, and that `taken` (key, signature) doesn't bind to other signatures only. A null base gets no key.
 
@@ -29,6 +31,9 @@ def claimed(rows: DataFrame, scope: list[str], base: str, order: list[str], sign
     number can end no earlier than j numbers on, unless `taken` binds a number before that to its own signature; so rows of one base start at their rank, and
     where one goes on, those after it are pushed on with it. Rounds are needed only where bases meet ("a" with 11 and "a1" with 1) and at taken keys,
     whose runs of numbers are passed in one step.
+
+    Large bases that interleave ("a" and "a1" with thousands of rows each) would need a round for nearly every clash. Where clashes are left after `rounds`, the rows of
+    those families (bases that differ in their last digits) are given keys in order instead, each family by one task that streams its rows and holds its keys.
     """
     sig = F.col(signature).cast("string") if signature else F.lit(None).cast("string")
     first = ranked(rows.where(F.col(base).isNotNull()), [*scope, base], [F.col(c) for c in order], "_rank", keep_part=True)
@@ -46,7 +51,9 @@ def claimed(rows: DataFrame, scope: list[str], base: str, order: list[str], sign
     state = prefix(state, group, along, plain.cast("long"), F.sum, "_place", own=False).withColumn("_place", F.coalesce("_place", F.lit(0)))
     columns = state.columns
     done: DataFrame | None = None
+    turn = 0
     while True:
+        turn += 1
         # rows without a number of their own take rising numbers, so each is at least as far behind an earlier one as it stands
         pushed = prefix(state, group, along, F.when(plain, F.col("_n") - F.col("_place")), F.max, "_lead")
         state = pushed.withColumn("_n", F.when(plain, F.col("_lead") + F.col("_place")).otherwise(F.col("_n"))).select(*columns)
@@ -64,6 +71,10 @@ def claimed(rows: DataFrame, scope: list[str], base: str, order: list[str], sign
             workspace.drop(before)
         if done.where("_lost").isEmpty():
             break
+        if turn >= rounds:
+            before, done = done, workspace.staged(_in_order(done, scope, base, bound if taken is not None else None), "claims")
+            workspace.drop(before)
+            break
         state = done.select(*columns)
     workspace.drop(first)
     if taken is not None:
@@ -73,6 +84,50 @@ def claimed(rows: DataFrame, scope: list[str], base: str, order: list[str], sign
     return done.select(*rest, F.col("_claim").alias(name)).unionByName(none)
 
 
+def _in_order(claims: DataFrame, scope: list[str], base: str, bound: DataFrame | None) -> DataFrame:
+    """claims, with _claim given out one by one in the families that still have clashes."""
+    names = claims.columns
+    root = F.regexp_replace(base, "[0-9]+$", "")
+    claims = claims.withColumns({"_family": F.struct(*scope, root.alias("_root")), "_base": F.col(base), "_bound": F.lit(None).cast("string")})
+    families = claims.where("_lost").select("_family").distinct()
+    left = claims.join(families, "_family", "left_semi")
+    if bound is not None:  # a family's bound keys come before its rows
+        key = F.concat("base", F.when(F.col("number") > 0, F.col("number").cast("string")).otherwise(F.lit("")))
+        keys = bound.select(F.regexp_replace("base", "[0-9]+$", "").alias("_root"), key.alias("_bound"), F.col("signature").alias("_sig")).distinct()
+        keys = keys.join(families.select("_family", F.col("_family._root").alias("_root")), "_root").drop("_root")
+        left = left.unionByName(keys, allowMissingColumns=True)
+    order = [F.col("_family"), F.asc_nulls_first("_o")]
+    dealt = left.repartition("_family").sortWithinPartitions(*order)
+    place = {c: k for k, c in enumerate(dealt.columns)}
+
+    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family, used, held, least = None, set(), {}, {}
+        for batch in batches:
+            given = []
+            columns = [batch.column(place[c]).to_pylist() for c in ("_family", "_base", "_sig", "_mine", "_bound")]
+            for of, b, sig, mine, bound_key in zip(*columns):
+                if of != family:
+                    family, used, held, least = of, set(), {}, {}
+                if bound_key is not None:
+                    held.setdefault(bound_key, set()).add(sig)
+                    given.append(None)
+                    continue
+                key_of = lambda n, b=b: f"{b}{n}" if n else b
+                n = least.get(b, 0)
+                while key_of(n) in used or key_of(n) in held:
+                    n += 1
+                least[b] = n  # numbers before it are used, or bound
+                n = min([m for m in mine if key_of(m) not in used] + [n])
+                used.add(key_of(n))
+                given.append(key_of(n))
+            out = batch.set_column(place["_claim"], "_claim", pa.array(given, pa.string()))
+            yield out.filter(pc.is_valid(out.column(place["_claim"])))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema)
+    made = dealt.mapInArrow(give, schema)
+    return claims.join(families, "_family", "left_anti").select(*names).unionByName(made.select(*names))
+
+
 def suffixed(rows: DataFrame, base: str, order: list[str], name: str = "key") -> DataFrame:
     """Adds key, unique over all rows: the base for the first row that has it, else the base and the least free number (see claimed)."""
     return claimed(rows, [], base, order, name=name)

@@ -17,6 +17,8 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marginalia.sources import workspace
+
 ENTRIES = "file_path string, entry_idx int, entry_type string, entry_key string, fields map<string,string>, raw string"
 BLOCKS = "file_path string, block_idx int, block_type string, name string, value string, entry_type string, entry_key string, fields map<string,string>, raw string, error string"
 # Accent commands and their combining marks, commands that are letters, and the order of fields in a canonical file.
@@ -203,14 +205,19 @@ def write_checked(spark: SparkSession, rows: DataFrame, before: DataFrame, folde
 
     The new texts are staged beside the folder, parsed anew and compared with `before` first. A file that passes is written under a
     passing name, what it replaces is kept as a rollback copy until the new one is in place, and is put back if that fails. A file that fails
-    the guard is left as it is.
+    the guard is left as it is. Files are put one by one; bibsource.write puts all or none.
     """
-    stage = f"{folder.rstrip('/')}/_staged-{uuid.uuid4().hex}"
-    files_of(rendered(rows)).write.parquet(stage)
-    made = spark.read.parquet(stage)
-    bad = [r["file_path"] for r in guard(before, blocks(made)).select("file_path").collect()]
-    good = made.join(spark.createDataFrame([(p,) for p in bad], "file_path string"), "file_path", "left_anti")
+    made = workspace.staged(files_of(rendered(rows)), "rewritten")
+    try:
+        bad = workspace.staged(guard(before, blocks(made)).select("file_path"), "rejected")
+        good = made.join(bad, "file_path", "left_anti")
+        written = good.select("file_path", "value").mapInPandas(_putter(folder), "file_path string").count()
+    finally:
+        workspace.drop(made)
+    return bad.withColumn("written", F.lit(written).cast("long"))
+
 
+def _putter(folder: str):
     def put(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = pyarrow.fs.FileSystem.from_uri(folder)
         for frame in frames:
@@ -233,10 +240,7 @@ def write_checked(spark: SparkSession, rows: DataFrame, before: DataFrame, folde
                     store.delete_file(old)
             yield frame[["file_path"]]
 
-    written = good.select("file_path", "value").mapInPandas(put, "file_path string").count()
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-    return spark.createDataFrame([(p, written) for p in bad], "file_path string, written long")
+    return put
 
 
 def without_comments(found: DataFrame, keep: str) -> DataFrame:

@@ -131,8 +131,10 @@ def test_keys_equal_a_sequential_run(spark, seed):
     rows = [(r.choice("fg"), i, r.choice(bases), r.choice("stuv")) for i in range(60)]
     taken = list({(r.choice(bases) + r.choice(["", "1", "2", "3", "4", "11", "12", "30"]), r.choice("stuvw")) for _ in range(15)})
     e = spark.createDataFrame(rows, ENTRIES).repartition(3)
-    got = keys.disambiguated(e, spark.createDataFrame(taken, "key string, signature string"))
-    assert {(x.file_path, x.entry_idx): x.key for x in got.collect()} == sequential(rows, taken)
+    bound = spark.createDataFrame(taken, "key string, signature string")
+    for rounds in (1, 100):  # families in order after one round, and rounds alone
+        got = keys.claimed(e, ["file_path"], "base", ["entry_idx"], "signature", bound, rounds=rounds)
+        assert {(x.file_path, x.entry_idx): x.key for x in got.collect()} == sequential(rows, taken)
 
 
 def test_a_hot_base_and_null_bases(spark):
