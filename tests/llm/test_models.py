@@ -89,7 +89,14 @@ def brute_toxicity(rows, labels, k=15):
     odds = n1 / (n1 + n0)
     whole = Counter(w for b in bags for w in b)
     marks = [Counter(w for b, y in examples if y == c for w in b) for c in (0, 1)]
-    weight = {w: (math.log((1 + len(rows)) / (1 + whole[w])) + 1) * math.log((marks[1][w] + 5 * odds) / (marks[0][w] + 5 * (1 - odds)) * (1 - odds) / odds) ** 2 for w in marks[0] + marks[1]}
+    def relevance(toxic, clean):
+        """Squared log odds, less where they are unsure: a word's z-score against 3."""
+        t, c = toxic + 5 * odds, clean + 5 * (1 - odds)
+        lift = math.log(t / c / (odds / (1 - odds)))
+        z = lift * lift / (1 / t + 1 / c)
+        return lift * lift * z / (z + 3)
+
+    weight = {w: (math.log((1 + len(rows)) / (1 + whole[w])) + 1) * relevance(marks[1][w], marks[0][w]) for w in marks[0] + marks[1]}
 
     def vector(bag):
         v = {w: (1 + math.log(c)) * weight[w] for w, c in bag.items() if w in weight}
