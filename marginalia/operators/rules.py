@@ -52,36 +52,36 @@ def key_findings(key: Column, year: Column) -> Column:
     digits = F.regexp_extract(key, r"(\d{4})", 1)
     ends = F.length(F.regexp_extract(key, r"^(.*?\d{4})", 1)) == F.length(key)
     checks = found(
-        (~key.rlike("^[a-z0-9]+$"), "key must be lowercase alphanumeric only"),
-        (digits == "", "key must include year"),
-        ((digits != "") & (F.coalesce(year, F.lit("")) != "") & (digits != year), "key year does not match entry year"),
-        ((digits != "") & ends, "key missing keyword after year"),
+        (~key.rlike("^[a-z0-9]+$"), "only a-z and 0-9 may stand in a key"),
+        (digits == "", "no year in the key"),
+        ((digits != "") & (F.coalesce(year, F.lit("")) != "") & (digits != year), "key and entry differ in the year"),
+        ((digits != "") & ends, "nothing follows the year in the key"),
     )
-    return F.when(F.coalesce(key, F.lit("")) == "", F.array(F.lit("missing key"))).otherwise(checks)
+    return F.when(F.coalesce(key, F.lit("")) == "", F.array(F.lit("no key"))).otherwise(checks)
 
 
 def strict_key_findings(key: Column, expected: Column) -> Column:
     """What is wrong with a key that must have author, year and keyword."""
     shaped = T.canonical_key(F.lower(key))
     checks = found(
-        (key != F.lower(key), "contains uppercase letters"),
-        (key.rlike("[^a-zA-Z0-9]"), "contains non-alphanumeric characters"),
-        (~shaped & ~key.rlike(r"\d{4}"), "missing 4-digit year"),
-        (~shaped & key.rlike(r"\d{4}"), "must follow <author><year><keyword> shape"),
-        (shaped & expected.rlike(r"^\d{4}$") & ~key.contains(expected), "key year does not match entry year"),
+        (key != F.lower(key), "upper-case letters in the key"),
+        (key.rlike("[^a-zA-Z0-9]"), "other characters than letters and digits in the key"),
+        (~shaped & ~key.rlike(r"\d{4}"), "no year of four digits in the key"),
+        (~shaped & key.rlike(r"\d{4}"), "not author, year and keyword in a row"),
+        (shaped & expected.rlike(r"^\d{4}$") & ~key.contains(expected), "key and entry differ in the year"),
     )
-    return F.when(~T.filled(key), F.array(F.lit("missing key"))).otherwise(checks)
+    return F.when(~T.filled(key), F.array(F.lit("no key"))).otherwise(checks)
 
 
 def lint_key_findings(key: Column, year: Column) -> Column:
     """What is wrong with a key by the linter's rules: case, separators, shape, and the entry's year inside."""
     checks = found(
-        (key != F.lower(key), "entry key must be lowercase"),
-        (key.rlike(r"[-_.]"), "entry key must not contain '-', '_' or '.'"),
-        (~T.canonical_key(key), "entry key must follow <author><year><keyword> shape"),
-        (F.coalesce(year, F.lit("")).rlike(r"^(19|20)\d{2}$") & ~F.contains(key, F.coalesce(year, F.lit(""))), "entry key does not include entry year"),
+        (key != F.lower(key), "upper case in an entry key"),
+        (key.rlike(r"[-_.]"), "dash, underscore or dot in an entry key"),
+        (~T.canonical_key(key), "entry key is not author, year and keyword in a row"),
+        (F.coalesce(year, F.lit("")).rlike(r"^(19|20)\d{2}$") & ~F.contains(key, F.coalesce(year, F.lit(""))), "entry key without the year of its entry"),
     )
-    return F.when(F.coalesce(key, F.lit("")) == "", F.array(F.lit("entry key is missing"))).otherwise(checks)
+    return F.when(F.coalesce(key, F.lit("")) == "", F.array(F.lit("entry without a key"))).otherwise(checks)
 
 
 def pdf_link(url: Column) -> Column:
@@ -118,27 +118,27 @@ def lint(entries: DataFrame, profile: str = "strict", oral: str = "") -> DataFra
     for name, names in REQUIRED[profile].items():
         needs = F.when(kind == name, missing(F.col("fields"), names)).otherwise(needs)
     checks: list[tuple[Column, Column]] = [
-        (F.size(needs) > 0, issue("error", "missing_required_fields", F.concat(kind, F.lit(" missing required fields: "), F.array_join(needs, ", ")))),
-        ((f["year"] != "") & ~f["year"].rlike(r"^(19|20)\d{2}$"), issue("error", "invalid_year", F.concat(F.lit("year must be 4-digit in [1900,2099], got: "), f["year"]))),
-        (F.lower(f["author"]).contains("and others") | F.lower(f["author"]).contains("others}"), issue("warning", "placeholder_authors", "Author field includes placeholder 'others'")),
+        (F.size(needs) > 0, issue("error", "missing_required_fields", F.concat(kind, F.lit(" lacks "), F.array_join(needs, ", ")))),
+        ((f["year"] != "") & ~f["year"].rlike(r"^(19|20)\d{2}$"), issue("error", "invalid_year", F.concat(F.lit("not a year from 1900 to 2099: "), f["year"]))),
+        (F.lower(f["author"]).contains("and others") | F.lower(f["author"]).contains("others}"), issue("warning", "placeholder_authors", "the list of authors ends in a stand-in")),
     ]
     for name in ("url", "pdf", "arxiv"):
-        checks.append(((f[name] != "") & ~f[name].rlike("(?i)^https?://"), issue("error", "invalid_url_scheme", F.concat(F.lit(f"{name} must be HTTP(S): "), f[name]))))
+        checks.append(((f[name] != "") & ~f[name].rlike("(?i)^https?://"), issue("error", "invalid_url_scheme", F.concat(F.lit(f"{name} is no web address: "), f[name]))))
     checks += [
-        ((f["pdf"] != "") & ~pdf_link(f["pdf"]), issue("warning", "pdf_field_suspicious", F.concat(F.lit("pdf field does not look like a PDF URL: "), f["pdf"]))),
-        ((f["arxiv"] != "") & ~F.lower(f["arxiv"]).contains("arxiv.org/abs/"), issue("warning", "arxiv_field_suspicious", F.concat(F.lit("arxiv field should point to arxiv.org/abs: "), f["arxiv"]))),
+        ((f["pdf"] != "") & ~pdf_link(f["pdf"]), issue("warning", "pdf_field_suspicious", F.concat(F.lit("pdf leads to no PDF by its looks: "), f["pdf"]))),
+        ((f["arxiv"] != "") & ~F.lower(f["arxiv"]).contains("arxiv.org/abs/"), issue("warning", "arxiv_field_suspicious", F.concat(F.lit("arxiv leads to no abstract page: "), f["arxiv"]))),
     ]
     if oral:
         stem = F.regexp_extract("file_path", r"([^/]*)\.[^./]*$", 1)
         of_url, of_pdf = T.forum_id(f["url"]), T.forum_id(f["pdf"])
         talk = F.col("file_path").contains(oral)
         checks += [
-            (talk & (kind != "inproceedings"), issue("error", "oral_entry_type", "oral entry must be inproceedings")),
-            (talk & (f["url"] == ""), issue("error", "oral_missing_url", "oral entry missing required url field")),
-            (talk & (f["pdf"] == ""), issue("error", "oral_missing_pdf", "oral entry missing required pdf field")),
-            (talk & (F.lower(f["note"]) != "oral"), issue("warning", "oral_note", "oral entry should have note={Oral}")),
-            (talk & (f["year"] != "") & (f["year"] != stem), issue("error", "oral_year_mismatch", F.concat_ws(" ", F.lit("entry year"), f["year"], F.lit("does not match file year"), stem))),
-            (talk & ((of_url == "") != (of_pdf == "")), issue("warning", "oral_mixed_openreview_links", "url/pdf fields mix OpenReview and non-OpenReview links")),
+            (talk & (kind != "inproceedings"), issue("error", "oral_entry_type", "a talk that is no inproceedings")),
+            (talk & (f["url"] == ""), issue("error", "oral_missing_url", "a talk without url")),
+            (talk & (f["pdf"] == ""), issue("error", "oral_missing_pdf", "a talk without pdf")),
+            (talk & (F.lower(f["note"]) != "oral"), issue("warning", "oral_note", "a talk whose note is not Oral")),
+            (talk & (f["year"] != "") & (f["year"] != stem), issue("error", "oral_year_mismatch", F.concat_ws(" ", F.lit("a talk of"), f["year"], F.lit("in the file of"), stem))),
+            (talk & ((of_url == "") != (of_pdf == "")), issue("warning", "oral_mixed_openreview_links", "only one of url and pdf leads to the review site")),
             (talk & (of_url != "") & (of_pdf != "") & (of_url != of_pdf), issue("error", "oral_openreview_id_mismatch", F.concat(F.lit("url id ("), of_url, F.lit(") and pdf id ("), of_pdf, F.lit(") differ")))),
         ]
     keys = F.transform(lint_key_findings(F.trim("entry_key"), f["year"]), lambda m: issue("warning", "key_format", m))

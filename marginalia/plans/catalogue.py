@@ -103,10 +103,10 @@ def missing_required_fields(spark, sf_dir):
 
 PART_KEY_SQL = "regexp_replace(p_brand, ' ', '', 'g') || (1900 + p_size) || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE lower(split_part(p_name, ' ', 1)) END"
 KEY_ISSUES_SQL = f"""k AS (SELECT p_partkey, {PART_KEY_SQL} AS k, (1900 + p_size + p_partkey % 2)::VARCHAR AS y FROM part),
-    ki AS (SELECT p_partkey, k, 'key must be lowercase alphanumeric only' AS message FROM k WHERE NOT regexp_matches(k, '^[a-z0-9]+$')
-    UNION ALL SELECT p_partkey, k, 'key must include year' FROM k WHERE NOT regexp_matches(k, '[0-9]{{4}}')
-    UNION ALL SELECT p_partkey, k, 'key year does not match entry year' FROM k WHERE regexp_extract(k, '([0-9]{{4}})', 1) NOT IN ('', y)
-    UNION ALL SELECT p_partkey, k, 'key missing keyword after year' FROM k WHERE regexp_matches(k, '[0-9]{{4}}') AND length(regexp_extract(k, '^(.*?[0-9]{{4}})', 1)) = length(k))"""
+    ki AS (SELECT p_partkey, k, 'only a-z and 0-9 may stand in a key' AS message FROM k WHERE NOT regexp_matches(k, '^[a-z0-9]+$')
+    UNION ALL SELECT p_partkey, k, 'no year in the key' FROM k WHERE NOT regexp_matches(k, '[0-9]{{4}}')
+    UNION ALL SELECT p_partkey, k, 'key and entry differ in the year' FROM k WHERE regexp_extract(k, '([0-9]{{4}})', 1) NOT IN ('', y)
+    UNION ALL SELECT p_partkey, k, 'nothing follows the year in the key' FROM k WHERE regexp_matches(k, '[0-9]{{4}}') AND length(regexp_extract(k, '^(.*?[0-9]{{4}})', 1)) = length(k))"""
 
 
 def _part_keys(spark, sf_dir) -> DataFrame:

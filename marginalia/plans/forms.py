@@ -134,8 +134,8 @@ def lint_entry_rules(spark, sf_dir):
     return rules.lint(lint_entries(spark, sf_dir)).where("issue_type <> 'key_format'").select("file_path", "entry_idx", "issue_type")
 
 
-@query(f"""WITH {LINT_SQL} SELECT id AS entry_idx, unnest(list_filter([CASE WHEN k <> lower(k) THEN 'entry key must be lowercase' END, CASE WHEN regexp_matches(k, '[-_.]') THEN 'entry key must not contain ''-'', ''_'' or ''.''' END,
-    CASE WHEN NOT regexp_matches(k, '^[a-z][a-z0-9]*[0-9]{{4}}[a-z0-9]+$') THEN 'entry key must follow <author><year><keyword> shape' END, CASE WHEN length(y) = 4 AND NOT contains(k, y) THEN 'entry key does not include entry year' END], lambda x: x IS NOT NULL)) AS message FROM e""")
+@query(f"""WITH {LINT_SQL} SELECT id AS entry_idx, unnest(list_filter([CASE WHEN k <> lower(k) THEN 'upper case in an entry key' END, CASE WHEN regexp_matches(k, '[-_.]') THEN 'dash, underscore or dot in an entry key' END,
+    CASE WHEN NOT regexp_matches(k, '^[a-z][a-z0-9]*[0-9]{{4}}[a-z0-9]+$') THEN 'entry key is not author, year and keyword in a row' END, CASE WHEN length(y) = 4 AND NOT contains(k, y) THEN 'entry key without the year of its entry' END], lambda x: x IS NOT NULL)) AS message FROM e""")
 def lint_key_rules(spark, sf_dir):
     return rules.lint(lint_entries(spark, sf_dir)).where("issue_type = 'key_format'").select("entry_idx", "message")
 

@@ -16,31 +16,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.operators import scans
-from marginalia.sources import bibfile, workspace
+from marginalia.sources import bibfile, bibsource, workspace
 
 CHUNK = 4 << 20
 #: States at a line's start: between blocks; after "@" or "@kind" that a brace may follow; inside a block that } or ) closes, by depth.
 BETWEEN, AT, KIND = "O", "@", "@k"
 LIKELY = (BETWEEN, AT, KIND, "}0", "}1", "}2", ")0", ")1")
-_INSIDE = {"}": re.compile(r"\\.|[{}]", re.S), ")": re.compile(r"\\.|[{})]", re.S)}
 _OPENED = re.compile(r"@\s*(?:[A-Za-z]+\s*)?\Z")
 _REST_OF = {AT: re.compile(r"\s*[A-Za-z]+\s*([{(])"), KIND: re.compile(r"\s*([{(])")}
 _WAITS = {AT: re.compile(r"\s*(?:[A-Za-z]+\s*)?\Z"), KIND: re.compile(r"\s*\Z")}
 CHUNKS = "file_path string, start long, sub int"
-ROWS = f"{CHUNKS}, idx int, block_type string, name string, value string, entry_type string, entry_key string, fields map<string,string>, raw string, error string, bare array<string>"
+#: A block's text: the number of its first row in the chunk, how many rows it makes, its kind, and the bare words that its values name.
+TEXTS = f"{CHUNKS}, idx int, rows int, kind string, part string, raw string, bare array<string>"
 
 
 def _close(text: str, at: int, close: str, depth: int) -> tuple[int, int]:
     """Where a block closes that is `depth` braces deep at `at`, else -1 and the depth at the end."""
-    for m in _INSIDE[close].finditer(text, at):
-        c = m[0]
-        if c == "{":
-            depth += 1
-        elif c == "}" and depth:
-            depth -= 1
-        elif c == close and not depth:
-            return m.start(), 0
-    return -1, depth
+    end = bibfile.block_end(text, at, close, depth)
+    return (end, 0) if end >= 0 else (-1, ~end)
 
 
 def _closing(brace: str) -> str:
@@ -210,29 +203,24 @@ class _Bare(dict):
 
 
 def parsed(text: str, macros: dict[str, str] | None = None) -> Iterator[dict]:
-    """The blocks of a text that begins with a header, with the bare words of each; macros defined inside the text itself count for nothing."""
-    m = bibfile.HEADER.match(text)
-    if not m:
-        return
-    known = _Bare(macros or {})
-    for b in bibfile.parse(text, known):
-        yield b | {"bare": sorted(known.asked)}
+    """The blocks of a text that begins with a header, with the bare words of each."""
+    if bibfile.HEADER.match(text):
+        known = _Bare(macros or {})
+        for b in bibfile.parse(text, known):
+            yield b | {"bare": sorted(known.asked)}
 
 
-_NAMES = ["idx", "block_type", "name", "value", "entry_type", "entry_key", "fields", "raw", "error", "bare"]
-_KINDS = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.string(), pa.list_(pa.string())]
+_TEXT = pa.schema([("file_path", pa.string()), ("start", pa.int64()), ("sub", pa.int32()), ("idx", pa.int32()), ("rows", pa.int32()), ("kind", pa.string()), ("part", pa.string()), ("raw", pa.string()), ("bare", pa.list_(pa.string()))])
 
 
-def _rows(keys: tuple, blocks: list[dict]) -> pa.RecordBatch:
-    value = lambda b, c: list(b[c].items()) if c == "fields" and b.get(c) is not None else b.get(c)
-    places = [pa.array([k] * len(blocks), kind) for k, kind in zip(keys, (pa.string(), pa.int64(), pa.int32()))]
-    return pa.RecordBatch.from_arrays([*places, *(pa.array([value(b, c) for b in blocks], kind) for c, kind in zip(_NAMES, _KINDS))], names=["file_path", "start", "sub", *_NAMES])
+def _text_row(place: tuple, idx: int, raw: str, found: list[dict]) -> dict:
+    return dict(zip(_TEXT.names, (*place, idx, len(found), found[0]["block_type"], None, raw, found[-1]["bare"])))
 
 
 def blocks(spark: SparkSession, paths: list[str], size: int = CHUNK) -> DataFrame:
     """bibfile.BLOCKS of the .bib files below the paths, equal to bibfile.blocks of their whole texts; a file's size is no task's limit.
 
-    Texts are read twice, and shuffled once by chunk, with the state that it meets. A block's number comes from the counts of the chunks before. Macros
+    Texts are read twice, and shuffled twice by chunk: with the state that it meets, and with the macros that its blocks name. A block's number comes from the counts of the chunks before. Macros
     are resolved by name and place: bare words are joined with the definitions before them. The definitions of one file are one group. A block itself, also one that
     never closes, is put together in one task. Text that does not end in a line feed is read as if it did. The staged blocks stay in the shared
     folder, as the result reads them.
@@ -245,85 +233,77 @@ def blocks_of(read: DataFrame, size: int = CHUNK) -> DataFrame:
     met = met_states(read, size)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Whole blocks as rows; fragments of others as rows of the chunk that owns them, of type head or tail, with their text as raw."""
+        """Whole blocks as rows; fragments of others as rows of the chunk that owns them, of kind begins or more."""
         for batch in batches:
             for path, start, sub, text, state, owner_start, owner_sub in zip(*(batch.column(k).to_pylist() for k in range(7))):
-                walk, out = Walk(text, state), []
+                walk, out, n = Walk(text, state), [], 0
+                part = f"{start:020d}/{sub:010d}"  # fragments are put in order by the chunk that they come from
                 if state != BETWEEN:
-                    part = text if walk.head is None else text[: walk.head]
-                    # fragments are put in order by the chunk that they come from
-                    yield _rows((path, owner_start, owner_sub), [{"idx": 0, "block_type": "more", "raw": part, "value": f"{start:020d}/{sub:010d}"}])
-                n = 0
+                    out.append(dict(zip(_TEXT.names, (path, owner_start, owner_sub, 0, 0, "more", part, text if walk.head is None else text[: walk.head], []))))
                 for a, z in walk.blocks:
-                    for b in parsed(text[a:z]):
-                        out.append(b | {"idx": n})
-                        n += 1
+                    found = list(parsed(text[a:z]))
+                    if found:
+                        out.append(_text_row((path, start, sub), n, text[a:z], found))
+                    n += len(found)
                     if len(out) >= 2000:
-                        yield _rows((path, start, sub), out)
+                        yield pa.RecordBatch.from_pylist(out, schema=_TEXT)
                         out = []
                 if walk.tail < len(text):
-                    out.append({"idx": n, "block_type": "begins", "raw": text[walk.tail :], "value": f"{start:020d}/{sub:010d}"})
+                    out.append(dict(zip(_TEXT.names, (path, start, sub, n, 0, "begins", part, text[walk.tail :], []))))
                 if out:
-                    yield _rows((path, start, sub), out)
+                    yield pa.RecordBatch.from_pylist(out, schema=_TEXT)
 
     texts = _texts(read, size).join(met, ["file_path", "start", "sub"]).select("file_path", "start", "sub", "text", "met", "owner_start", "owner_sub")
-    rows = workspace.staged(texts.mapInArrow(cut, ROWS), "blocks")
+    rows = workspace.staged(texts.mapInArrow(cut, TEXTS), "blocks")
     workspace.drop(met)
-    fragments = rows.where("block_type in ('begins', 'more')")
+    fragments = rows.where("kind in ('begins', 'more')")
     place = ["file_path", "start", "sub"]
-    joined = fragments.groupBy(*place).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("value", "raw"))), lambda s: s["raw"]), "").alias("text"), F.max(F.when(F.col("block_type") == "begins", F.col("idx"))).alias("first"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "raw"))), lambda s: s["raw"]), "")
+    joined = fragments.groupBy(*place).agg(text.alias("text"), F.max(F.when(F.col("kind") == "begins", F.col("idx"))).alias("first"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start, sub, text, first in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                out = [b | {"idx": first + k} for k, b in enumerate(parsed(text))]
-                if out:
-                    yield _rows((path, start, sub), out)
+                found = list(parsed(text))
+                if found:
+                    yield pa.RecordBatch.from_pylist([_text_row((path, start, sub), first, text, found)], schema=_TEXT)
+
+    every = rows.where("kind not in ('begins', 'more')").unionByName(joined.mapInArrow(whole, TEXTS))
 
-    every = rows.where("block_type not in ('begins', 'more')").unionByName(joined.mapInArrow(whole, ROWS))
-    return _numbered(_with_macros(every, place), place).select("file_path", "block_idx", "block_type", "name", "value", "entry_type", "entry_key", "fields", "raw", "error")
+    def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for path, before, raw, macros in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                out += [{"file_path": path, "block_idx": before + k} | b for k, b in enumerate(parsed(raw, dict(macros or ())))]
+            for at in range(0, len(out), 2000):
+                yield bibsource._batch(out[at : at + 2000], bibsource._ARROW["blocks"])
 
+    known = every.join(_of_chunks(every, place), place)
+    return known.select("file_path", (F.col("_before") + F.col("idx")).cast("int").alias("n"), "raw", F.col("_macros")[F.col("idx")].alias("m")).mapInArrow(final, bibfile.BLOCKS)
 
-def _numbered(rows: DataFrame, place: list[str]) -> DataFrame:
-    """Adds block_idx, the number within the file: a row's number in its chunk and the rows of the chunks before."""
-    counts = rows.groupBy(*place).agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.expr("sum(_n) OVER (PARTITION BY file_path ORDER BY start, sub ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"), F.lit(0))
-    return rows.join(counts.withColumn("_before", before).drop("_n"), place).withColumn("block_idx", (F.col("_before") + F.col("idx")).cast("int"))
 
+def _of_chunks(rows: DataFrame, place: list[str]) -> DataFrame:
+    """(*place, _before, _macros) of each chunk: the rows of the chunks before it in the file, and for its blocks that name macros, by their number, the last
+    definitions before them. One row a chunk, so the texts are moved once to meet it."""
 
-def _with_macros(rows: DataFrame, place: list[str]) -> DataFrame:
-    """Rows whose values name macros, parsed anew with the last definition before them; the others as they are."""
     def resolve(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         macros: dict[str, str] = {}
-        out, last = [], None
+        out = []
         for r in group.sort_values(["start", "sub", "idx"]).itertuples(index=False):
-            if r.raw != last:  # a block that defines several macros has a row for each, which follow one another
-                queue, last = list(bibfile.parse(r.raw, macros)), r.raw
-            elif not queue:
-                queue = list(bibfile.parse(r.raw, macros))
-            made = queue.pop(0)
-            macros[made["name"]] = made["value"]
-            out.append((r.file_path, r.start, r.sub, r.idx, made["name"], made["value"]))
+            out += [(r.file_path, r.start, r.sub, r.idx, b["name"], b["value"]) for b in list(bibfile.parse(r.raw, macros))]
         return pd.DataFrame(out, columns=["file_path", "start", "sub", "idx", "name", "value"])
 
-    strings = rows.where("block_type = 'string'")
-    defined = strings.select(*place, "idx", "raw").groupBy("file_path").applyInPandas(resolve, f"{CHUNKS}, idx int, name string, value string")
-    asks = rows.where("block_type <> 'string' and size(bare) > 0").select(*place, "idx", F.explode("bare").alias("name"))
+    counts = rows.groupBy(*place).agg(F.sum("rows").alias("_n"))
+    before = F.coalesce(F.expr("sum(_n) OVER (PARTITION BY file_path ORDER BY start, sub ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"), F.lit(0))
+    defined = rows.where("kind = 'string'").select(*place, "idx", "raw").groupBy("file_path").applyInPandas(resolve, f"{CHUNKS}, idx int, name string, value string")
+    asks = rows.where("size(bare) > 0").select(*place, "idx", F.explode("bare").alias("name"))
     asks = asks.join(defined.select("file_path", "name").distinct(), ["file_path", "name"], "left_semi")
     none = F.lit(None).cast("struct<start:long,sub:int,idx:int,value:string>")
     # definitions and uses of a name in the order of the file; a running maximum carries the last definition on, however often a name is used
     both = defined.select(*place, "idx", "name", F.struct(*place[1:], "idx", "value").alias("_def")).unionByName(asks.withColumn("_def", none))
     names = ["file_path", "name"]
-    dealt = scans.ranked(both, names, [F.col(c) for c in (*place[1:], "idx")], "_r", keep_part=True)
-    last = scans.prefix(dealt, names, [F.col("_r")], F.col("_def"), F.max, "_last").where("_def is null and _last is not null").select(*place, "idx", "name", F.col("_last.value").alias("_value"))
-    macros = last.groupBy(*place, "idx").agg(F.map_from_entries(F.collect_list(F.struct("name", "_value"))).alias("_macros"))
-    both = rows.where("block_type <> 'string'").join(macros, [*place, "idx"], "left")
-
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, start, sub, idx, raw, macros in zip(*(batch.column(k).to_pylist() for k in range(6))):
-                yield _rows((path, start, sub), [b | {"idx": idx} for b in parsed(raw, dict(macros))][:1])
-
-    changed = both.where("_macros is not null").select(*place, "idx", "raw", "_macros").mapInArrow(again, ROWS)
-    texts = strings.drop("value", "name").join(defined, [*place, "idx"])
-    return both.where("_macros is null").drop("_macros").unionByName(changed).unionByName(texts)
+    dealt = scans.ranked(both, names, [*[F.col(c) for c in (*place[1:], "idx")], F.col("_def").isNotNull()], "_r", keep_part=True)  # a block's own definitions come after its uses
+    last = scans.prefix(dealt, names, [F.col("_r")], F.col("_def"), F.max, "_last").where("_def is null and _last is not null")
+    of_block = last.groupBy(*place, "idx").agg(F.map_from_entries(F.collect_list(F.struct("name", F.col("_last.value")))).alias("m"))
+    of_chunk = of_block.groupBy(*place).agg(F.map_from_entries(F.collect_list(F.struct("idx", "m"))).alias("_macros"))
+    return counts.withColumn("_before", before).drop("_n").join(of_chunk, place, "left")

@@ -40,22 +40,21 @@ def unicode_text(value: str) -> str:
     return LETTER.sub(lambda m: LETTERS[m[1] or m[2]], ACCENT.sub(accent, value)) if "\\" in value else value
 
 
-def block_end(text: str, at: int, close: str) -> int:
-    """Where a block that was opened before `at` closes; -1 if it doesn't. Braces nest, escaped ones don't count."""
-    depth, k = 0, at
-    while k < len(text):
-        c = text[k]
-        if c == "\\":
-            k += 2
-            continue
+# A set of characters comes first, so that the text between marks is passed quickly; a backslash takes the character after it.
+_MARKS = {"}": re.compile(r"[{}\\](?:(?<=\\).)?", re.S), ")": re.compile(r"[{})\\](?:(?<=\\).)?", re.S)}
+
+
+def block_end(text: str, at: int, close: str, depth: int = 0) -> int:
+    """Where a block that was opened before `at`, and is `depth` braces deep there, closes; ~depth at the end if it doesn't. Braces nest, escaped ones don't count."""
+    for m in _MARKS[close].finditer(text, at):
+        c = m[0]
         if c == "{":
             depth += 1
         elif c == "}" and depth:
             depth -= 1
         elif c == close and not depth:
-            return k
-        k += 1
-    return -1
+            return m.start()
+    return ~depth
 
 
 def value(text: str, at: int, macros: dict[str, str]) -> tuple[str, int]:
