@@ -35,6 +35,7 @@ def claimed(rows: DataFrame, scope: list[str], base: str, order: list[str], sign
     Large bases that interleave ("a" and "a1" with thousands of rows each) would need a round for nearly every clash. Where clashes are left after `rounds`, the rows of
     those families (bases that differ in their last digits) are given keys in order instead, each family by one task that streams its rows and holds its keys.
     """
+    rows = workspace.staged(rows, "unkeyed")  # read three times, and its bases may be dear to make
     sig = F.col(signature).cast("string") if signature else F.lit(None).cast("string")
     first = ranked(rows.where(F.col(base).isNotNull()), [*scope, base], [F.col(c) for c in order], "_rank", keep_part=True)
     state = first.withColumns({"_o": F.struct(*order, base, "_rank"), "_sig": sig, "_mine": F.array().cast("array<long>")})
