@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import xml.etree.ElementTree as ET
+from xml.parsers import expat
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from marginalia.functions import similarity as S
 from marginalia.functions import text as T
@@ -62,12 +67,29 @@ def listing(pages: DataFrame, page_col: str, pattern: str = r'<a[^>]+href="([^"]
     return pages.select(F.explode(both).alias("z")).select("z.href", T.strip_tags("z.title").alias("title"))
 
 
+@F.pandas_udf(StructType().add("id", "string").add("title", "string").add("authors", ArrayType(StringType())).add("published", "string"))
+def _entry(entries: pd.Series) -> pd.DataFrame:
+    """What xpath_string gives for id, title and published of an entry, and the text nodes of its authors' names, by one parse."""
+
+    def one(e: str) -> tuple:
+        made, parser = ET.TreeBuilder(), expat.ParserCreate()
+        parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = made.start, made.end, made.data
+        parser.Parse(e, True)
+        root = made.close()
+        text = lambda name: "".join(root.find(name).itertext()) if root.find(name) is not None else ""
+        nodes = [t for n in root.findall("author/name") for t in (n.text, *(c.tail for c in n)) if t]
+        return text("id"), text("title"), nodes, text("published")
+
+    return pd.DataFrame([one(e) for e in entries], columns=["id", "title", "authors", "published"])
+
+
 def atom(feeds: DataFrame, column: str = "feed", keys: list[str] | None = None) -> DataFrame:
     """Entries of Atom feeds: the feed's keys, id, title, authors, year, rank."""
     plain = F.regexp_replace(F.regexp_replace(F.col(column), r'\sxmlns(:\w+)?="[^"]*"', ""), r"<(/?)\w+:", "<$1")
     keys = keys or []
     rows = feeds.select(*keys, F.posexplode(F.regexp_extract_all(plain, F.lit(r"(?s)(<entry>.*?</entry>)"), F.lit(1))).alias("rank", "e"))
-    return rows.select(*keys, T.arxiv_id(F.xpath_string("e", F.lit("entry/id"))).alias("id"), T.spaces(F.xpath_string("e", F.lit("entry/title"))).alias("title"), F.xpath("e", F.lit("entry/author/name/text()")).alias("authors"), T.year(F.xpath_string("e", F.lit("entry/published"))).alias("year"), "rank")
+    rows = rows.select(*keys, "rank", _entry("e").alias("p"))
+    return rows.select(*keys, T.arxiv_id("p.id").alias("id"), T.spaces("p.title").alias("title"), F.col("p.authors").alias("authors"), T.year("p.published").alias("year"), "rank")
 
 
 def tei_features(rows: DataFrame, column: str = "tei") -> DataFrame:

@@ -108,3 +108,31 @@ def test_streams(spark, tmp_path):
     assert {tuple(r) for r in spark.sql("SELECT * FROM totals").collect()} == {("failed", 3), ("ok", 1)}
     progress.keep_latest(progress.events(spark, str(folder)), str(tmp_path / "state"), str(tmp_path / "cp"), ["entry_key"], "ts").awaitTermination(120)
     assert progress.latest_state(spark, str(tmp_path / "state")).count() == 2
+
+
+def test_blocks_of_many_small_files_are_held_in_bounded_batches(spark, monkeypatch):
+    from marginalia.sources import bibfile, bibsource
+
+    made = spark.sparkContext.accumulator(0)
+    plain = bibsource._batch
+
+    def counted(rows, schema):
+        assert len(rows) <= bibsource.BATCH
+        made.add(1)
+        return plain(rows, schema)
+
+    monkeypatch.setattr(bibsource, "_batch", counted)
+    text = " ".join(f"@misc{{k{k}, title = {{t{k}}}}}" for k in range(50))
+    files = spark.range(300, numPartitions=1).selectExpr("concat('f', id) AS file_path", f"'{text}' AS value")
+    found = bibfile.blocks(files)
+    assert found.where("fields['title'] = 't7'").count() == 300 and made.value == 8  # 15,000 blocks, 2,000 a batch
+
+
+def test_atom_entries_are_parsed_once_and_as_xpath_does(spark):
+    from marginalia.sources import records
+
+    entry = '<entry><x a:b="1"/><id>http://arxiv.org/abs/2301.00001v2</id><title>A <i>b</i> &amp; c</title><author><name>Ann</name></author><author><name/></author><id>x</id></entry>'
+    rows = spark.createDataFrame([(1, f"<feed>{entry}<entry></entry></feed>")], "k int, feed string")
+    got = records.atom(rows, "feed", ["k"])
+    assert [tuple(r) for r in got.orderBy("rank").collect()] == [(1, "2301.00001", "A b & c", ["Ann"], None, 0), (1, "", "", [], None, 1)]
+    assert "xpath" not in got._jdf.queryExecution().optimizedPlan().toString()
