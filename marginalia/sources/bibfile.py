@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -132,14 +133,22 @@ def parse(text: str, macros: dict[str, str] | None = None) -> Iterator[dict]:
 
 def blocks(files: DataFrame, path_col: str = "file_path", text_col: str = "value") -> DataFrame:
     """All blocks of files (path, whole text)."""
-    names = ["file_path", "block_idx", "block_type", "name", "value", "entry_type", "entry_key", "fields", "raw", "error"]
-
-    def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [{"file_path": p, "block_idx": k} | b for p, text in zip(frame[path_col], frame[text_col]) for k, b in enumerate(parse(text or ""))]
-            yield pd.DataFrame(rows, columns=names).astype(object).where(lambda f: f.notna(), None)
-
-    return files.select(path_col, text_col).mapInPandas(emit, BLOCKS)
+    from marginalia.sources.bibsource import _ARROW, BATCH, _batch  # it builds on this module
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
+        for batch in batches:
+            for at in range(len(batch)):  # a file at a time: a task holds the blocks of BATCH rows, however many files a batch has
+                path, text = (batch.column(c)[at].as_py() for c in range(2))
+                for k, b in enumerate(parse(text or "")):
+                    rows.append({"file_path": path, "block_idx": k} | b)
+                    if len(rows) >= BATCH:
+                        yield _batch(rows, _ARROW["blocks"])
+                        rows = []
+        if rows:
+            yield _batch(rows, _ARROW["blocks"])
+
+    return files.select(path_col, text_col).mapInArrow(emit, BLOCKS)
 
 
 def read_files(spark: SparkSession, paths: list[str], exclude: str | None = None) -> DataFrame:
