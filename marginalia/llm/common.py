@@ -146,6 +146,19 @@ def dealt(df: DataFrame, parts: int | None = None) -> DataFrame:
     return df.repartition(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def likely(rows: DataFrame, column: str, found: DataFrame, words: int = 1 << 19) -> DataFrame:
+    """rows without most of those whose `column` is not in found's column of that name, nulls included; a join after it decides.
+
+    What is broadcast is a bitmap of 64 * words hashes, so its size is bounded; a row whose hash some value of found has stays. A join of a large
+    table with a small part of its keys so moves that part, and not the large table.
+    """
+    spot = F.pmod(F.xxhash64(column), F.lit(64 * words))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))
+    bits = found.select(F.floor(spot / 64).alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    held = rows.withColumns({"_word": F.floor(spot / 64), "_bit": bit}).join(F.broadcast(bits), "_word")
+    return held.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*rows.columns)
+
+
 def doc_crc(column: str):
     """crc32 of the id as text."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

@@ -168,9 +168,10 @@ def near_components(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
     found = common.staged(signatures(docs, k), "signatures")
     nodes = found.where("n > 0").groupBy("v", "n").agg(F.min(F.struct("doc", "bands", "parity")).alias("r")).select("v", "n", "r.*")
     nodes = common.staged(nodes, "nodes")
-    rows = nodes.select("v", "n", *(F.col("parity")[i].alias(p) for i, p in enumerate(_BITS)), F.explode("bands").alias("b"))
+    rows = nodes.select("v", F.explode("bands").alias("b"))
     shared = common.staged(rows.groupBy("b").agg(F.count("*").alias("m")).where("m > 1"), "shared-bands")
-    members = common.staged(rows.join(shared, "b"), "members")
+    held = nodes.select("v", "n", *(F.col("parity")[i].alias(p) for i, p in enumerate(_BITS)))
+    members = common.staged(common.likely(rows, "b", shared).join(shared, "b").join(held, "v"), "members")
     labels = _linked(docs, nodes, members, percent, k) if members.take(1) else None
     rows = found.select("doc", "n", "v")
     if labels is not None:
@@ -184,9 +185,10 @@ def near_components(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
 
 def _linked(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int, k: int) -> DataFrame | None:
     """(v, c) of the nodes that have a link; None if there is no link."""
-    wanted = nodes.join(members.select("v").distinct(), "v", "left_semi").select("v", "doc")
-    texts = docs.join(wanted, docs["doc"].eqNullSafe(wanted["doc"])).select("v", "text")
-    sets = common.staged(_sets(texts, k), "sets")
+    wanted = common.staged(nodes.join(members.select("v").distinct(), "v", "left_semi").select("v", "doc"), "wanted")
+    texts = common.likely(docs, "doc", wanted)
+    texts = texts.join(wanted, texts["doc"].eqNullSafe(wanted["doc"])).select("v", "text")
+    sets = common.sorted_run(_sets(texts, k), ["v"])  # every turn joins pairs with them twice
 
     big = sets.join(members.where(F.col("m") > BIG).select("v").distinct(), "v", "left_semi")
     alone = big.select("v", F.explode("items").alias("h")).groupBy("h").agg(F.count("*").alias("c"), F.min("v").alias("v")).where("c = 1")
@@ -203,6 +205,7 @@ def _linked(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int,
         pairs = _leader_pairs(members, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["x", "y"], "left_anti")
+        pairs = common.staged(pairs, "pairs")
         one, two = (sets.select(F.col("v").alias(v), F.col("n").alias(f"n{v}"), F.col("items").alias(f"i{v}")) for v in "xy")
         met = pairs.join(one, "x").join(two, "y")
         met = met.select("x", "y", "nx", "ny", F.size(F.array_intersect("ix", "iy")).cast("long").alias("inter"))

@@ -263,3 +263,34 @@ def test_only_the_two_columns(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert substring_dedup.remove_repeats(df.select("doc_id", "text")).first().kept_text == "a b"
     assert DOCS
+
+
+def test_likely_loses_no_row(spark):
+    """Rows with a key that was found stay, null keys included; most others go."""
+    rows = spark.range(20_000).selectExpr("if(id = 0, null, id) AS k", "id AS other")
+    got = [r.k for r in common.likely(rows, "k", rows.where("k IS NULL OR k % 1000 = 7").select("k"), words=1 << 12).collect()]
+    assert {None, *range(7, 20_000, 1000)} <= set(got) and len(got) < 200
+    assert common.likely(rows, "k", rows.where("k < 0").select("k")).count() == 0
+
+
+def test_near_dedup_moves_no_text_without_a_shared_band(spark):
+    """Texts that share no band are not shuffled, though no join is small enough to be broadcast by its size."""
+    rng = random.Random(4)
+    texts = [" ".join(f"{rng.getrandbits(40):010x}" for _ in range(2000)) for _ in range(200)]
+    df = spark.createDataFrame([*enumerate(texts), (200, texts[0] + " more")], "doc_id long, text string")
+    sc, was = spark.sparkContext, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    store = sc._jsc.sc().statusStore()
+
+    def moved() -> int:
+        stages = store.stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+        return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        before = moved()
+        got = {r.doc_id: r.component_id for r in minmax_dedup.near_dedup(df).collect()}
+        sent = moved() - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert got == {**{k: k for k in range(200)}, 200: 0}
+    assert sent < sum(map(len, texts)) / 2
