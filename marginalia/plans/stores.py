@@ -46,7 +46,9 @@ def chunked_citation_blocks(spark, sf_dir):
     folder = workspace.fresh(spark, "texts")
     rows.select(value.alias("value")).write.text(folder)
     lines = spark.read.option("lineSep", "\n").text(folder).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start"), "value")
-    blocks = bibchunks.blocks_of(lines, size=20_000).where("block_type = 'entry'")
+    found = bibchunks.found(lines, size=20_000)
+    workspace.delete(spark, folder)
+    blocks = bibchunks.numbered(found).where("block_type = 'entry'")
     return blocks.select("entry_key", F.col("fields")["title"].alias("title"), F.md5(F.col("fields")["abstract"]).alias("digest"))
 
 

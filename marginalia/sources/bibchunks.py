@@ -112,7 +112,10 @@ def chunks(lines: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[tuple
     """(file_path, start, sub, text) from lines (file_path, start, value) as a task reads them: its lines of one split lie together and in order."""
     key, sub, held, n = None, 0, [], 0
     for batch in lines:
-        for path, start, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        ends = [tuple(batch.column(c)[k].as_py() for c in range(2)) for k in (0, -1)] if len(batch) else []
+        # a batch of one split, as most are, names it once: its path is longer than many a line
+        names = ends[:1] * len(batch) if ends[:1] == ends[1:] else zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        for (path, start), value in zip(names, batch.column(2).to_pylist()):
             if (path, start) != key or n >= size:
                 if held:
                     yield (*key, sub, "\n".join(held) + "\n")
@@ -230,6 +233,11 @@ def blocks(spark: SparkSession, paths: list[str], size: int = CHUNK) -> DataFram
 
 def blocks_of(read: DataFrame, size: int = CHUNK) -> DataFrame:
     """blocks() of files read as lines (file_path, start, value); start orders the splits of a file, whose lines lie together and in order."""
+    return numbered(found(read, size))
+
+
+def found(read: DataFrame, size: int = CHUNK) -> DataFrame:
+    """TEXTS of the blocks of blocks_of(), staged, fragments of blocks over borders apart. The files themselves are not read any more after this."""
     met = met_states(read, size)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,6 +264,11 @@ def blocks_of(read: DataFrame, size: int = CHUNK) -> DataFrame:
     texts = _texts(read, size).join(met, ["file_path", "start", "sub"]).select("file_path", "start", "sub", "text", "met", "owner_start", "owner_sub")
     rows = workspace.staged(texts.mapInArrow(cut, TEXTS), "blocks")
     workspace.drop(met)
+    return rows
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """bibfile.BLOCKS of what found() returns. Blocks over borders are put together and parsed once, and staged: four later steps read them."""
     fragments = rows.where("kind in ('begins', 'more')")
     place = ["file_path", "start", "sub"]
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "raw"))), lambda s: s["raw"]), "")
@@ -268,7 +281,7 @@ def blocks_of(read: DataFrame, size: int = CHUNK) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_pylist([_text_row((path, start, sub), first, text, found)], schema=_TEXT)
 
-    every = rows.where("kind not in ('begins', 'more')").unionByName(joined.mapInArrow(whole, TEXTS))
+    every = rows.where("kind not in ('begins', 'more')").unionByName(workspace.staged(joined.mapInArrow(whole, TEXTS), "joined"))
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

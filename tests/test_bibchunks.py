@@ -80,3 +80,16 @@ def test_one_file_goes_to_many_tasks(spark, tmp_path):
         assert [r.entry_key for r in got.orderBy("block_idx").collect()] == [f"k{n}" for n in range(3000)]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_blocks_over_borders_are_parsed_once_and_files_are_read_no_more(spark, tmp_path):
+    """Later steps read the joined blocks from a staged table, so only the last parse is left in the plan, and the files may go."""
+    file = tmp_path / "one.bib"
+    file.write_text('@string{j = "Journal"}\n' + "".join(f"@article{{k{n},\n title = {{T {n}}},\n journal = j\n}}\n" for n in range(200)))
+    want = rows(bibfile.blocks(bibfile.read_files(spark, [str(tmp_path)])))
+    found = bibchunks.found(bibchunks.lines(spark, [str(tmp_path)]), 50)
+    assert found.where("kind = 'begins'").count() > 50
+    file.unlink()
+    got = bibchunks.numbered(found)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert rows(got) == want
